@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, packing, quality, simhash, url_filter
 from .common import table
 
+REMAINDER = "crc32(cast(cast(doc_id as string) as binary)) % 3"
+
 
 def op3_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -20,8 +22,23 @@ def op4_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), learn_from=f"{REMAINDER} <> 1")
+    rows = quality.scored(docs, model)
+    return rows.select("doc_id", F.expr(f"coalesce({REMAINDER} = 1, false)").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_chunk_recipes, op4_simhash_blocks]
+    own = [op3_chunk_recipes, op4_simhash_blocks, op6_attention_quality, op8_url_digests, op9_histogram_packing]
     return {f.__name__: f for f in own}
 
 
