@@ -11,10 +11,12 @@ repeat are packed each; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import gc
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,64 +29,99 @@ from .common import pick, slabs, text_of, written
 
 SIZE = 2048
 END_ID = 1
-#: Entries of a worker's cache of word pieces, of about 200 bytes each, before it starts anew.
-CACHE = 600_000
+#: Entries of a generation of a worker's cache, of about 200 bytes each; there are two generations.
+CACHE = 900_000
 
 _ODD = regex.compile(r"[\x1c-\x1f]|<\|")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_tokenizers: dict[str, Callable[[list[str]], list[bytes]]] = {}
+_SIGNS = string.punctuation
+_tokenizers: dict[str, "CachedTokenizer"] = {}
+
+
+def _split(word: str) -> list[str]:
+    """The runs that the vocabulary's pattern finds in a lower-case word of Latin letters and signs."""
+    body = word.rstrip(_SIGNS)
+    return [body, word[len(body) :]] if body.isalpha() else _PIECES.findall(word)
 
 
 class CachedTokenizer:
     """Token ids, as little-endian 32-bit bytes, of whole texts. White space ends a token of this vocabulary, so
     a text's ids are those of its words one after the other; words, and the runs of letters and signs that a
-    word of Latin letters splits into, are encoded once. A text with a sign that breaks this is encoded whole."""
+    word of Latin letters splits into, are encoded once. A text with a sign that breaks this is encoded whole.
+    What was not met since the cache last filled up is forgotten when it fills up again."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts without white space inside, by one call."""
+    def _encode(self, parts: list[str], runs: bool) -> list[bytes]:
+        """Ids of parts without white space inside, by one call. runs: each part is one run."""
         if not parts:
             return []
-        size = np.fromiter(map(len, parts), np.int64, len(parts))
-        ends = np.cumsum(size + 1)
-        got = self.tokenizer.encode("\n".join(parts), add_special_tokens=False)
-        ids = np.array(got.ids, "<u4")
-        at = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
-        bounds = np.searchsorted(at, ends).tolist()
-        whole = ids.tobytes()
-        return [whole[4 * a : 4 * b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
-
-    def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if max(w) < "ƀ"]
-        odd = [w for w in new if max(w) >= "ƀ"]
-        split = [_PIECES.findall(w.lower()) for w in plain]
-        unknown = list({p for s in split for p in s} - self.pieces.keys())
-        self.pieces.update(zip(unknown, self._encode(unknown), strict=True))
+        if runs:
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+            bounds = np.flatnonzero(self.last[ids]) + 1
+            if len(bounds) != len(parts):
+                return self._encode(parts, False)
+        else:
+            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+            got = self.tokenizer.encode("\n".join(parts), add_special_tokens=False)
+            ids = np.array(got.ids, "<u4")
+            bounds = np.searchsorted(np.fromiter((a for a, _ in got.offsets), np.int64, len(ids)), ends)
+        whole, bounds = ids.tobytes(), (4 * bounds).tolist()
+        return [whole[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
+
+    def _learn(self, new: set[str]) -> None:
+        if self.old_words:
+            again = new & self.old_words.keys()
+            self.words.update(zip(again, map(self.old_words.__getitem__, again), strict=True))
+            new = new - again
+        odd = [w for w in new if not w.isascii() and max(w) >= "ƀ"]
+        plain = list(new.difference(odd))
+        split = [[w] if w.isalpha() else _split(w) for w in map(str.lower, plain)]
+        runs = {p for s in split for p in s} - self.pieces.keys()
+        again = runs & self.old_pieces.keys()
+        self.pieces.update(zip(again, map(self.old_pieces.__getitem__, again), strict=True))
+        runs = list(runs - again)
+        self.pieces.update(zip(runs, self._encode(runs, True), strict=True))
         piece = self.pieces.__getitem__
-        self.words.update((w, b"".join(map(piece, s))) for w, s in zip(plain, split, strict=True))
-        self.words.update(zip(odd, self._encode(odd), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        words = [None if _ODD.search(t) else t.split() for t in texts]
-        needed = set().union(*[w for w in words if w])
-        new = needed - self.words.keys()
-        if len(self.words) + len(self.pieces) + len(new) > CACHE:
-            self.words.clear()
-            self.pieces.clear()
-            new = needed
-        self._learn(list(new))
+        self.words.update((w, piece(s[0]) if len(s) == 1 else b"".join(map(piece, s))) for w, s in zip(plain, split, strict=True))
+        self.words.update(zip(odd, self._encode(odd, False), strict=True))
+
+    def __call__(self, texts: list[str], odd: bool = True) -> list[bytes]:
+        """Ids of each text. odd: whether some text may hold a sign that stops it from being split."""
+        if len(self.words) + len(self.pieces) > CACHE:
+            self.old_words, self.old_pieces, self.words, self.pieces = self.words, self.pieces, {}, {}
+        out: list[bytes | None] = []
+        wait: dict[int, list[str]] = {}
+        new: set[str] = set()
+        known = self.words.get
+        for i, t in enumerate(texts):
+            if odd and _ODD.search(t):
+                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            words = t.split()
+            ids = list(map(known, words))
+            if None in ids:
+                new.update([w for w, x in zip(words, ids, strict=True) if x is None])
+                wait[i] = words
+                out.append(None)
+            else:
+                out.append(b"".join(ids))
+        if new:
+            self._learn(new)
         known = self.words.__getitem__
-        return [
-            b"".join(map(known, w)) if w is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-            for w, t in zip(words, texts, strict=True)
-        ]
+        for i, words in wait.items():
+            out[i] = b"".join(map(known, words))
+        return out
 
 
 def default_path() -> str:
@@ -108,7 +145,11 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         for slab in slabs(batches, "text"):
             out: dict[str, list] = defaultdict(list)
             ids = slab.rows.column("doc_id").to_pylist()
-            for doc_id, body in zip(ids, encode(slab.rows.column("text").to_pylist()), strict=True):
+            odd = bool(((slab.data >= 0x1C) & (slab.data <= 0x1F)).any()) or b"<|" in slab.data.tobytes()
+            gc.disable()  # nothing in the cache is cyclic, but each pass of the collector would walk it
+            bodies = encode(slab.rows.column("text").to_pylist(), odd)
+            gc.enable()
+            for doc_id, body in zip(ids, bodies, strict=True):
                 body += last
                 total = len(body) // 4
                 for start in range(0, total, size):
