@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, quality, simhash, url_filter
+from . import chat_quotes, exact_dedup, packing, quality, simhash, substring_dedup, url_filter, warc_fixity
 from .common import table
 
 REMAINDER = "crc32(cast(cast(doc_id as string) as binary)) % 3"
 
 
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op6_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.expr(f"coalesce({REMAINDER} = 1, false)").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -37,8 +45,14 @@ def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica in which the body of every page with page_id % 257 = 3 has its first sign changed."""
+    damaged = F.when(F.col("page_id") % 257 == 3, F.concat(F.lit("#"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
+    return warc_fixity.audit(warc_fixity.layout(table(spark, sf_dir, "pages"), damaged))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_chunk_recipes, op4_simhash_blocks, op6_attention_quality, op8_url_digests, op9_histogram_packing]
+    own = [op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit]
     return {f.__name__: f for f in own}
 
 
