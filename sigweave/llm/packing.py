@@ -30,7 +30,7 @@ from .common import pick, slabs, text_of, written
 SIZE = 2048
 END_ID = 1
 #: Entries of a generation of a worker's cache, of about 200 bytes each; there are two generations.
-CACHE = 900_000
+CACHE = 500_000
 
 _ODD = regex.compile(r"[\x1c-\x1f]|<\|")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
