@@ -146,7 +146,8 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lost = written(lost.where("not kept or n > 1"), "lost")
     sha = F.sha2(F.regexp_replace(text_of(text), r"[\x20\x09-\x0D]+", " "), 256)
     same = F.col(key).cast("long").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))
-    out = plain.withColumn("sha", sha).join(lost, same, "left").where("kept is null or kept")
+    # lost grows with docs, so the plan is the same at every size: both sides are dealt by key
+    out = plain.withColumn("sha", sha).join(lost.hint("merge"), same, "left").where("kept is null or kept")
     if not lost.where("kept and n > 1").isEmpty():
         once = out.where("n > 1").dropDuplicates([key, "sha"])
         out = out.where("n is null").unionByName(once)
