@@ -29,8 +29,9 @@ from .common import pick, slabs, text_of, written
 
 SIZE = 2048
 END_ID = 1
-#: Entries of a generation of a worker's cache, of about 200 bytes each; there are two generations.
-CACHE = 500_000
+#: Entries of a generation of a worker's cache, of about 200 bytes each; there are two generations. A caller that
+#: needs the memory for more can take fewer; ids stay the same.
+CACHE = 900_000
 
 _ODD = regex.compile(r"[\x1c-\x1f]|<\|")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -54,6 +55,7 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cache: int | None = None
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -98,7 +100,7 @@ class CachedTokenizer:
 
     def __call__(self, texts: list[str], odd: bool = True) -> list[bytes]:
         """Ids of each text. odd: whether some text may hold a sign that stops it from being split."""
-        if len(self.words) + len(self.pieces) > CACHE:
+        if len(self.words) + len(self.pieces) > (self.cache or CACHE):
             self.old_words, self.old_pieces, self.words, self.pieces = self.words, self.pieces, {}, {}
         out: list[bytes | None] = []
         wait: dict[int, list[str]] = {}
@@ -130,7 +132,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, with_ids: bool = False, cache: int | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of every piece; task, place: its rank among the pieces of its
     length from its task; ids, if asked for."""
 
@@ -141,6 +143,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         if path not in _tokenizers:
             _tokenizers[path] = CachedTokenizer(path)
         encode, task, seen = _tokenizers[path], TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
+        encode.cache = cache
         last = np.array([end_id], "<u4").tobytes()
         for slab in slabs(batches, "text"):
             out: dict[str, list] = defaultdict(list)
@@ -253,8 +256,8 @@ def packed(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, with_ids: bool = False, cache: int | None = None) -> DataFrame:
     """The pieces of all documents with their sequence and offset."""
-    pieces = written(token_pieces(docs, path or default_path(), id_col, text_col, size, end_id, with_ids), "pieces")
+    pieces = written(token_pieces(docs, path or default_path(), id_col, text_col, size, end_id, with_ids, cache), "pieces")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return packed(pieces, size).select(*names, *["ids"] * with_ids)
