@@ -3,6 +3,7 @@ only ASCII letters, digits and `_` make a word edge."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 import pandas as pd
@@ -128,3 +129,27 @@ def slugify(c: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def nfkd(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKD")
+
+
+# Names of encodings that web pages use for others.
+ENCODINGS = {"gb2312": "gb18030", "gb-2312": "gb18030", "gbk": "gb18030", "iso-8859-1": "cp1252", "latin1": "cp1252", "us-ascii": "cp1252"}
+HEAD = 2048
+
+
+@F.pandas_udf(T.StringType())
+def decode_body(body: pd.Series, content_type: pd.Series) -> pd.Series:
+    """Text of fetched bytes: by the header's charset, else that which the first HEAD bytes name, else UTF-8. Bytes
+    that do not fit become U+FFFD; null stays null."""
+
+    def one(b: bytes | None, header: str | None) -> str | None:
+        if b is None:
+            return None
+        named = re.search(r"charset=([\w-]+)", header or "", re.IGNORECASE) or re.search(r"""<meta[^>]+charset=["']?\s*([\w-]+)""", bytes(b[:HEAD]).decode("latin-1"), re.IGNORECASE)
+        name = named[1].lower() if named else "utf-8"
+        try:
+            out = bytes(b).decode(ENCODINGS.get(name, name), "replace")
+        except LookupError:
+            out = bytes(b).decode("utf-8", "replace")
+        return out.removeprefix("\ufeff")
+
+    return pd.Series([one(b, h) for b, h in zip(body, content_type, strict=True)], dtype=object)

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigweave.functions import dates, scoring, text, urls
-from sigweave.operators import cluster, dedup, select
+from sigweave.operators import cluster, dedup, render, select
+from sigweave.sources import markdown
 from sigweave.sources import pages as page_source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,10 +71,15 @@ def page_entity_decode(spark, sf):
     return t(spark, sf, "pages").select("page_id", F.length(text.decode_entities(F.col("html"))).cast("long").alias("size"))
 
 
-@query(None)
+@query(
+    f"""select url, url || 's/1' as link, replace(title, '&#39;', chr(39)) as title, 1 as tier from (select 'https://h' || page_id || '.example.com/' as url, {STRIP.format("regexp_extract(html, '(?is)<article[^>]*>.*?<h1[^>]*>(.*?)</h1>', 1)")} as title from pages)
+    where length(replace(title, '&#39;', chr(39))) >= 15"""
+)
 def page_signals(spark, sf):
-    out = page_source.signals(t(spark, sf, "pages"), F.lit(AS_OF).cast("timestamp"))
-    return out.select("url", "link", "title", "summary", "inferred", "tier")
+    """Pages as fetched from a host each, their articles' headings as links: the given ones have none."""
+    url = F.concat(F.lit("https://h"), F.col("page_id").cast("string"), F.lit(".example.com/"))
+    rows = t(spark, sf, "pages").select(url.alias("url"), F.replace("html", F.lit("<article><h1>"), F.lit('<article><h1><a href="/s/1">')).alias("html"))
+    return page_source.signals(rows, F.lit(AS_OF).cast("timestamp")).select("url", "link", "title", "tier")
 
 
 @query("select page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) as host from pages")
@@ -327,3 +333,70 @@ def flagship_hosts(spark, sf):
     return select.best_per(p, "host", "size", "page_id").orderBy(F.col("size").desc(), "page_id").limit(10).select("host", "page_id", "size")
 
 
+
+
+CATS = "['racing','new-models','tech','industry','local-market','culture']"
+NL = "chr(10) || chr(10)"
+
+
+def _days(spark, sf):
+    """Suppliers as the rows of days of 20 rows."""
+    w = Window.partitionBy("day").orderBy("s_suppkey")
+    s = t(spark, sf, "supplier").select("s_suppkey", "s_name", F.floor(F.col("s_suppkey") / 20).cast("string").alias("day"))
+    cats = F.array(*[F.lit(c) for c in render.SECTIONS])
+    s = s.withColumn("index", F.row_number().over(w)).withColumn("category", F.get(cats, (F.col("s_suppkey") % 6).cast("int")))
+    return s.withColumn("is_top", F.col("index") == 1).withColumn("is_leader", F.col("index") <= 3).withColumn("url", F.concat(F.lit("https://x/"), F.col("s_suppkey").cast("string")))
+
+
+SUPPLIED = f"with s as (select s_suppkey as k, s_name, cast(s_suppkey // 20 as varchar) as day, cast(row_number() over (partition by s_suppkey // 20 order by s_suppkey) as integer) as i, {CATS}[s_suppkey % 6 + 1] as cat from supplier)"
+
+
+@query(
+    SUPPLIED + """ select day, string_agg(i || '. ' || case when i = 1 then '【今日头条】' when i <= 3 then '【本方向今日代表】' else '' end || '【' || cat || '】' || s_name || chr(10) || '   来源：' || s_name || '　时间：未知' || chr(10) || '   摘要：' || substr(repeat(s_name, 100), 1, 800), chr(10) || chr(10) order by i) as prompt from s group by day"""
+)
+def prompt_text(spark, sf):
+    line = render.prompt_line(F.col("index"), F.col("category"), F.col("s_name"), F.col("s_name"), dates.date_label(F.lit(None).cast("timestamp"), F.lit(True)), F.repeat("s_name", F.lit(100)), render.mark_of(F.col("is_top"), F.col("is_leader")))
+    return render.joined(_days(spark, sf), "day", ["index"], line, "\n\n").withColumnRenamed("text", "prompt")
+
+
+@query(
+    SUPPLIED + f""", b as (select *, i = 1 as top, case when i = 1 then '今日头条' else ['赛事赛果','全球新车发布','技术工程解读','产业商业动态','本地车市','骑行文化车展活动'][k % 6 + 1] end as section, case when i = 1 then 0 else k % 6 + 1 end as place from s where k % 5 <> 0),
+    n as (select *, row_number() over (partition by day, section order by case when top then 0 else -(k % 17) end, i) as r from b),
+    body as (select day, string_agg(case when r = 1 then '## ' || section || {NL} else '' end || '**h ' || s_name || '**' || {NL} || 'b' || k || '（[' || s_name || '](https://x/' || k || ')）' || {NL}, '' order by place, r) as body from n where top or r <= 10 group by day),
+    heads as (select day, string_agg('- o' || i || chr(10), '' order by i) as lines from b where i <= 3 group by day)
+    select d.day, regexp_replace('# Day ' || d.day || {NL} || '> ' || d.day || {NL} || '## 今日热点导览' || {NL} || coalesce(lines, '') || chr(10) || coalesce(body, ''), '\\s+$', '') || chr(10) as markdown from (select distinct day from s) d left join body using (day) left join heads using (day)"""
+)
+def daily_markdown(spark, sf):
+    """Responses as a model would write them, as JSON, checked and rendered."""
+    rows = _days(spark, sf).withColumn("score", F.col("s_suppkey") % 17).withColumn("source_name", F.col("s_name"))
+    item = F.struct("index", F.concat(F.lit("h "), "s_name").alias("heading"), F.concat(F.lit("b"), F.col("s_suppkey").cast("string")).alias("body"), "category", (F.col("s_suppkey") % 5 != 0).alias("relevant"))
+    listed = rows.groupBy("day").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    overview = F.transform(F.slice("items", 1, 10), lambda i: F.struct(i["index"].alias("index"), F.concat(F.lit("o"), i["index"].cast("string")).alias("text")))
+    said = listed.select("day", F.to_json(F.struct(F.concat(F.lit("Day "), "day").alias("headline"), overview.alias("overview"), "items")).alias("response"))
+    return render.daily(said.select("day", render.checked_daily(F.col("response")).alias("r")), rows)
+
+
+@query("select s_suppkey, '# ' || s_name || chr(10) || chr(10) || 'hook' || chr(10) || chr(10) || 'body' || chr(10) || chr(10) || 'verdict' || chr(10) || chr(10) || 'q' || chr(10) || chr(10) || '（[' || s_name || '](https://x/' || s_suppkey || ')）' || chr(10) as markdown from supplier")
+def push_markdown(spark, sf):
+    r = render.checked_push(F.lit('{"hook":"hook","body":"body","verdict":"verdict","closingQuestion":"q"}'))
+    return _days(spark, sf).select("s_suppkey", render.push(r, F.col("s_name"), F.col("s_name"), F.col("url")).alias("markdown"))
+
+
+@query(f"select doc_id, case when regexp_matches(text, '(?i)召回|事故|故障|漏油|起火|安全隐患|recall|crash|fire hazard|malfunction') then '利益相关' else ['看点回顾','值不值得写','技术拆解','数字背后','本地影响','现场观察','其他'][doc_id % 7 + 1] end as frame from documents")
+def framework_choice(spark, sf):
+    kinds = F.array(*[F.lit(c) for c in [*render.SECTIONS, "other"]])
+    return t(spark, sf, "documents").select("doc_id", render.frame_of(F.lit(""), F.col("text"), F.get(kinds, (F.col("doc_id") % 7).cast("int")), "其他").alias("frame"))
+
+
+@query("select c_custkey, 'T ' || c_name as title, c_mktsegment as date_range, c_name || ' brief' as briefing, cast(c_custkey % 4 as integer) as item_count from customer")
+def markdown_meta(spark, sf):
+    c = F.concat(F.lit("# T "), "c_name", F.lit("\n\n> "), "c_mktsegment", F.lit("\n\n"), "c_name", F.lit(" brief\n\n"), F.repeat(F.lit("**item**\n\ntext **not one**\n\n"), (F.col("c_custkey") % 4).cast("int")))
+    rows = t(spark, sf, "customer").select("c_custkey", c.alias("c"))
+    c = F.col("c")
+    return rows.select("c_custkey", markdown.title(c).alias("title"), markdown.date_range(c).alias("date_range"), markdown.briefing(c).alias("briefing"), markdown.item_count(c).alias("item_count"))
+
+
+@query("select doc_id, sha256(text) as sha from documents where text is not null")
+def charset_decode(spark, sf):
+    rows = t(spark, sf, "documents").where("text is not null")
+    return rows.select("doc_id", F.sha2(text.decode_body(F.encode("text", "UTF-8"), F.lit("text/html; charset=utf-8")), 256).alias("sha"))

@@ -28,11 +28,17 @@ def group(c: Column, pattern: str, n: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, n), F.lit(""))
 
 
+def once(c: Column, f) -> Column:
+    """f(c), evaluated in a lambda: long chains of patterns would outgrow what generated code may hold."""
+    return F.transform(F.array(c), f)[0]
+
+
 def heading(c: Column) -> Column:
     """The first h1, else h2 to h6, else an element whose class says headline or title."""
-    levels = [F.nullif(text.decode_entities(text.strip_html(group(c, rf"(?is)<h{i}[^>]*>(.*?)</h{i}>"))), F.lit("")) for i in range(1, 7)]
-    named = F.nullif(text.decode_entities(text.strip_html(group(c, r'(?is)<(\w+)[^>]*class="[^"]*(?:headline|title)[^"]*"[^>]*>(.{1,300}?)</\1>', 2))), F.lit(""))
-    return F.coalesce(*levels, named)
+    plain = lambda x: F.nullif(text.strip_html(x), F.lit(""))
+    levels = [plain(group(c, rf"(?is)<h{i}[^>]*>(.*?)</h{i}>")) for i in range(1, 7)]
+    named = plain(group(c, r'(?is)<(\w+)[^>]*class="[^"]*(?:headline|title)[^"]*"[^>]*>(.{1,300}?)</\1>', 2))
+    return text.decode_entities(F.coalesce(*levels, named))  # leaves no text empty
 
 
 def published(c: Column) -> Column:
@@ -64,17 +70,17 @@ def json_ld(pages: DataFrame) -> DataFrame:
         *pages.columns, F.lit(0).alias("tier"), (F.col("script") * 100_000 + F.col("nth")).cast("long").alias("pos"), get("@type").alias("type"), get("headline", "name").alias("raw_title"),
         F.coalesce(get("url"), main).alias("link"), get("datePublished", "dateCreated").alias("date"), get("identifier", "@id").alias("external_id"), get("description", "abstract", "headline", "name").alias("raw_summary"),
     ).where(F.col("type").isin(JSON_TYPES) & (F.coalesce("raw_title", F.lit("")) != "") & (F.coalesce("link", F.lit("")) != ""))
-    clean = lambda c: text.strip_html(text.decode_entities(F.col(c)))
+    clean = lambda c: once(F.col(c), lambda x: text.strip_html(text.decode_entities(x)))
     return out.withColumn("title", clean("raw_title")).withColumn("summary", F.substring(clean("raw_summary"), 1, 8000)).drop("raw_title", "raw_summary")
 
 
 def card(frame: DataFrame, body: str, tier: int) -> DataFrame:
     """Card bodies (with href or null) to titled rows."""
     link = F.coalesce(F.col("href"), group(F.col(body), r'(?is)<h[1-6][^>]*>.*?<a[^>]+href="([^"]+)"'), group(F.col(body), r'(?i)<a[^>]+href="([^"]+)"'))
-    title = F.coalesce(heading(F.col(body)), F.nullif(F.substring(text.decode_entities(text_content(F.col(body))), 1, 120), F.lit("")))
+    title = once(F.col(body), lambda b: F.coalesce(heading(b), F.nullif(F.substring(text.decode_entities(text_content(b)), 1, 120), F.lit(""))))
     out = frame.withColumn("title", title).withColumn("link", link).withColumn("date", published(F.col(body)))
-    out = out.withColumn("summary", F.substring(text.strip_html(text.decode_entities(F.col(body))), 1, 500)).withColumn("tier", F.lit(tier))
-    return out.where((F.length("title") >= TITLE) & ~F.col("title").rlike(r"(?i)^latest\b.*\bnews$") & F.col("link").isNotNull()).drop(body, "href")
+    out = out.withColumn("summary", F.substring(once(F.col(body), lambda b: text.strip_html(text.decode_entities(b))), 1, 500)).withColumn("tier", F.lit(tier))
+    return out.where((F.length("title") >= TITLE) & ~F.trim("title").rlike(r"(?i)^latest\s+.+\s+news$") & F.col("link").isNotNull()).drop(body, "href")
 
 
 def articles(pages: DataFrame) -> DataFrame:
@@ -107,11 +113,25 @@ def cards(pages: DataFrame) -> DataFrame:
 
 
 def titled_links(pages: DataFrame) -> DataFrame:
-    """Links with a title of 6 to 80 characters."""
-    tags = F.expr("""regexp_extract_all(html, '(?i)<a[^>]+>', 0)""")
-    rows = pages.select("*", F.posexplode(tags).alias("pos", "tag"))
-    rows = rows.select(*pages.columns, "pos", group(F.col("tag"), r'(?i)href="([^"]+)"').alias("link"), text.decode_entities(group(F.col("tag"), r'(?i)title="([^"]{6,80})"')).alias("title"))
-    return first_wins(rows.where("link is not null and title is not null"), ["url", "link"], ["pos"])
+    """Links with a title of 6 to 80 characters after the address; the first of a link, none to the page itself."""
+    pattern = r'(?i)<a[^>]+href="([^"]+)"[^>]*\btitle="([^"]{6,80})"[^>]*>'
+    rows = pages.select("url", F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(0))).alias("pos", "tag"))
+    title = once(F.trim(F.regexp_extract("tag", pattern, 2)), lambda x: text.strip_html(text.decode_entities(x)))
+    rows = rows.select("url", F.lit(3).alias("tier"), "pos", title.alias("title"), urls.resolve(F.regexp_extract("tag", pattern, 1), F.col("url")).alias("link"))
+    rows = rows.where("link is not null and title <> '' and link <> url").select("*", F.lit(None).cast("string").alias("date"), F.col("title").alias("summary"))
+    return first_wins(rows, ["url", "link"], ["pos"])
+
+
+def feed_rows(pages: DataFrame, feeds: DataFrame) -> DataFrame:
+    """Rows of the feeds that pages name. feeds: feed_url, feed_body as fetched, a row a feed."""
+    bodies = pages.select("url", urls.resolve(feed_link(F.col("html")), F.col("url")).alias("feed_url")).join(feeds, "feed_url")
+    rows = bodies.select("url", F.posexplode(F.regexp_extract_all("feed_body", F.lit(r"(?i)<(?:item|entry)>([\s\S]*?)</(?:item|entry)>"), F.lit(1))).alias("pos", "item"))
+    tag = lambda *names: F.coalesce(*[F.nullif(F.trim(F.regexp_extract("item", rf"(?i)<{n}[^>]*>([\s\S]*?)</{n}>", 1)), F.lit("")) for n in names])
+    link = F.coalesce(group(F.col("item"), r'(?i)<link[^>]+href="([^"]+)"'), tag("link"))
+    clean = lambda c: once(c, lambda x: text.strip_html(text.decode_entities(x)))
+    summary = F.substring(clean(F.coalesce(tag("description", "summary"), tag("title"))), 1, 8000)
+    rows = rows.select("url", F.lit(0).alias("tier"), "pos", clean(tag("title")).alias("title"), link.alias("link"), tag("pubDate", "published").alias("date"), summary.alias("summary"))
+    return rows.where("title is not null and link is not null")
 
 
 def feed_link(html: Column) -> Column:
@@ -127,8 +147,11 @@ def meta(html: Column, name: str) -> Column:
 def page_meta(pages: DataFrame) -> DataFrame:
     """One row for a page that calls itself an article or news and has a date."""
     html = F.col("html")
-    rows = pages.withColumn("title", meta(html, "og:title")).withColumn("kind", meta(html, "og:type")).withColumn("date", meta(html, "article:published_time")).withColumn("summary", meta(html, "og:description"))
-    return rows.where(F.col("title").isNotNull() & F.col("kind").rlike("(?i)article|news") & dates.parse_date(F.col("date")).isNotNull())
+    title = F.coalesce(meta(html, "og:title"), group(html, r"(?is)<title[^>]*>(.*?)</title>"))
+    rows = pages.select("url", F.lit(4).alias("tier"), F.lit(0).alias("pos"), title.alias("raw"), urls.resolve(F.coalesce(meta(html, "og:url"), F.col("url")), F.col("url")).alias("link"), F.coalesce(meta(html, "article:published_time"), meta(html, "datePublished")).alias("date"), meta(html, "og:type").alias("kind"), meta(html, "og:description").alias("about"))
+    clean = lambda c: once(c, lambda x: text.strip_html(text.decode_entities(x)))
+    rows = rows.where(F.col("raw").isNotNull() & F.col("kind").rlike("(?i)article|news") & F.col("link").isNotNull() & dates.parse_date(F.col("date")).isNotNull())
+    return rows.select("url", "tier", "pos", clean(F.col("raw")).alias("title"), "link", "date", F.substring(clean(F.coalesce("about", "raw")), 1, 8000).alias("summary"))
 
 
 def excerpt(html: Column, least: int = 40, most: int = 1500) -> Column:
@@ -141,14 +164,25 @@ def excerpt(html: Column, least: int = 40, most: int = 1500) -> Column:
     return F.nullif(F.substring(F.array_join(grown["kept"], " "), 1, most), F.lit(""))
 
 
-def signals(pages: DataFrame, as_of: Column, take: int = TAKE) -> DataFrame:
+def signals(pages: DataFrame, as_of: Column, take: int = TAKE, feeds: DataFrame | None = None) -> DataFrame:
     """url (the page), link, title, summary, published, inferred, tier, pos of the pages' rows: tiers together,
-    the first of a link, no title that a page repeats, the first `take` of a page."""
+    the first of a link, no title that a page repeats, the first `take` of a page. Cards of another brand's site go.
+    feeds (feed_url, feed_body): a page's feed with a date that is given replaces rows of which none has one. Pages
+    without a row give their titled links (tier 3), pages without these their meta data (tier 4)."""
     pages = pages.select("url", "html")
     names = ["url", "tier", "pos", "title", "link", "date", "summary"]
-    tiers = [f.select(*[F.col(c).cast("long") if c == "pos" else F.col(c) for c in names]) for f in (json_ld(pages), articles(pages), cards(pages))]
-    rows = tiers[0].unionByName(tiers[1]).unionByName(tiers[2])
-    rows = rows.withColumn("link", urls.resolve("link", "url")).where("link is not null").withColumn("when", dates.dated(F.col("date"), as_of))
+    plain = lambda f: f.select(*[F.col(c).cast("long") if c == "pos" else F.col(c) for c in names])
+    placed = lambda f, way: plain(f).withColumn("way", F.lit(way)).withColumn("when", dates.dated(F.col("date"), as_of))
+    tiers = plain(json_ld(pages)).unionByName(plain(articles(pages))).unionByName(plain(cards(pages)))
+    rows = placed(tiers.withColumn("link", urls.resolve("link", "url")), 0).where("link is not null")
+    rows = rows.where((F.col("tier") == 0) | F.coalesce(urls.same_brand(urls.host(F.col("link")), urls.host(F.col("url"))), F.lit(True)))
+    if feeds is not None:
+        fed = placed(feed_rows(pages, feeds).withColumn("link", urls.resolve("link", "url")), 1).where("link is not null")
+        page = Window.partitionBy("url")
+        given = lambda way: F.coalesce(F.bool_or(~F.col("when.inferred") & (F.col("way") == way)).over(page), F.lit(False))
+        rows = rows.unionByName(fed).withColumn("fed", given(1) & ~given(0)).where(F.col("fed") == (F.col("way") == 1)).drop("fed")
     rows = drop_repeated_titles(first_wins(rows, ["url", "link"], ["tier", "pos"]), "url", "title")
+    rows = rows.withColumn("way", F.lit(0)).unionByName(placed(titled_links(pages), 1)).unionByName(placed(page_meta(pages), 2))
+    rows = rows.withColumn("least", F.min("way").over(Window.partitionBy("url"))).where("way = least")
     w = Window.partitionBy("url").orderBy("tier", "pos")
     return rows.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= take).select("url", "link", "title", "summary", "when.published", "when.inferred", "tier", "pos")
