@@ -304,7 +304,10 @@ def hash_sha256(spark, sf):
     return t(spark, sf, "part").select("p_partkey", F.sha2("p_name", 256).alias("sha"))
 
 
-@query(None)
+@query(
+    """with h as (select p_partkey, list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(p_name, ''), lambda x: cast(ord(x) as bigint))), lambda a, x: (a * 31 + x) & 4294967295) as h from part)
+    select p_partkey, substr(lower(to_hex(abs(case when h >= 2147483648 then h - 4294967296 else h end))), 1, 8) as short from h"""
+)
 def hash_short(spark, sf):
     return t(spark, sf, "part").select("p_partkey", text.short_hash(F.col("p_name")).alias("short"))
 
