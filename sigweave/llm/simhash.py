@@ -30,7 +30,8 @@ BUCKET_MAX = 4096
 SEED = 42
 
 
-def slab_fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int) -> np.ndarray:
+def slab_shingles(data: np.ndarray, bounds: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles, row after row, and how many each row has."""
     words = Words(data, bounds)
     joined, starts, ends = words.joined(data)
     lower = joined.tobytes().lower()  # bytes.lower() changes A-Z only
@@ -39,10 +40,14 @@ def slab_fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int) -> np.
     first = np.repeat(words.first[:-1], count) + ranges(count)
     last = np.minimum(first + shingle - 1, np.repeat(words.first[1:], count) - 1)
     digest = xxhash.xxh64_intdigest
-    out = np.zeros((len(n), 64), np.uint8)
+    return np.fromiter((digest(lower[a:b], SEED) for a, b in zip(starts[first].tolist(), ends[last].tolist(), strict=True)), "<u8", len(first)), count
+
+
+def slab_fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int) -> np.ndarray:
+    h, count = slab_shingles(data, bounds, shingle)
+    out = np.zeros((len(count), 64), np.uint8)
     full = np.flatnonzero(count)
     if len(full):
-        h = np.fromiter((digest(lower[a:b], SEED) for a, b in zip(starts[first].tolist(), ends[last].tolist(), strict=True)), "<u8", len(first))
         sums = np.zeros((len(full), 64), np.int64)
         at = (np.cumsum(count) - count)[full]
         for lo in range(0, len(full), 256):  # a few rows at a time: 64 bytes a shingle
