@@ -1,11 +1,13 @@
 """Benchmark decontamination by the q-gram lemma over diagonal bands, verified by banded alignment.
 
 Texts are compared in lower case, every run of other signs than letters and digits as one space. Each benchmark
-item is searched by segments of SEGMENT characters, half overlapping, so that a long part of an item is found
-too. A segment of m characters occurs if some part of the text is within k = m // EDITS edits. Such a part
-shares m - q + 1 - k q or more of the segment's character q-grams with it, on k + 1 neighbouring diagonals.
-Shared q-grams are counted in bands of BAND + k diagonals that overlap by k, so that one band holds them all;
-bands that meet the bound are regions, and a banded alignment of the region decides.
+item is searched by segments of SEGMENT characters, half overlapping, and by segments of SHORT characters close
+enough that every passage of PASSAGE characters of an item holds one whole: an excerpt of that length is found,
+wherever it begins, with up to SHORT // FEW edits. A segment of m characters occurs if some part of the text is
+within k = m // EDITS edits (short ones: m // FEW). Such a part shares m - q + 1 - k q or more of the segment's
+character q-grams with it, on k + 1 neighbouring diagonals. Shared q-grams are counted in bands of BAND + k
+diagonals that overlap by k, so that one band holds them all; bands that meet the bound are regions, and a banded
+alignment of the region decides.
 
 The benchmark is taken in blocks of BLOCK characters, each one pass over the documents: what goes to the
 executors is bounded. Defined results: null text is empty; segments under 2 q characters are looked for without
@@ -26,7 +28,10 @@ from pyspark.sql import functions as F
 from .common import column, pick, ranges, slabs, text_of, written
 
 Q, SEGMENT, EDITS, BAND = 8, 120, 10, 32
+SHORT, PASSAGE, FEW = 64, 80, 20
 BLOCK = 4_000_000
+#: Signs around a slab that match nothing; no diagonal of a region leaves them.
+PAD = 2 * SEGMENT + 2 * BAND
 _OTHER = regex.compile(r"[\W_]+")
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,40 +50,78 @@ def _grams(points: np.ndarray) -> np.ndarray:
     return np.ndarray((max(0, len(small) - Q + 1),), "<u8", small.tobytes() if len(small) >= Q else b"", 0, (1,))
 
 
+def _places(size: int) -> dict[tuple[int, int], int]:
+    """Where the segments of an item begin and end, those of SEGMENT characters first, and how many characters allow an edit."""
+    out: dict[tuple[int, int], int] = {}
+    for length, step, edits in ((SEGMENT, SEGMENT // 2, EDITS), (SHORT, PASSAGE - SHORT + 1, FEW)):
+        last = max(0, size - length)
+        for start in sorted({*range(0, last, step), last}):
+            out.setdefault((start, min(start + length, size)), edits)
+    return out
+
+
+def _bands(of: np.ndarray, diagonal: np.ndarray, edits: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys of the band that a diagonal is in and of the one before if that reaches it (else -1); keys of each `of`."""
+    wide = size // BAND + 2
+    band = diagonal // BAND
+    key = of * wide + band
+    return key, np.where((diagonal % BAND < edits) & (band > 0), key - 1, -1), wide
+
+
+def _among(key: np.ndarray, found: np.ndarray) -> np.ndarray:
+    return found[np.minimum(np.searchsorted(found, key), len(found) - 1)] == key
+
+
 class Benchmark:
     """Segments of items and their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.item: list[int] = []
         self.segments: list[np.ndarray] = []
-        codes, of, at = [], [], []
+        starts, each, codes, of, at, cover, by = [], [], [], [], [], [], []
+        total = 0
         for item, text in items:
             points = _points(normal(text))
             if len(points) < Q:
                 continue
-            last = max(0, len(points) - SEGMENT)
-            for start in sorted({*range(0, last, SEGMENT // 2), last}):
-                part = points[start : start + SEGMENT]
-                grams = _grams(part)
-                codes.append(grams)
-                of.append(np.full(len(grams), len(self.segments)))
-                at.append(np.arange(len(grams)))
+            grams = _grams(points)
+            codes.append(grams)
+            of.append(np.full(len(grams), len(of)))
+            at.append(np.arange(len(grams)))
+            for (start, end), edits in _places(len(points)).items():
+                cover.append(np.arange(total + start, total + end - Q + 1))
+                by.append(np.full(end - start - Q + 1, len(self.segments)))
+                starts.append(start)
+                each.append((edits, len(of) - 1))
                 self.item.append(item)
-                self.segments.append(part)
+                self.segments.append(points[start:end])
+            total += len(grams)
         size = np.array([len(s) for s in self.segments], np.int64)
-        self.edits = np.where(size < 2 * Q, 0, np.minimum(size // EDITS, (size - Q) // Q))
+        each = np.array(each, np.int64).reshape(-1, 2)
+        self.edits = np.where(size < 2 * Q, 0, np.minimum(size // each[:, 0], (size - Q) // Q))
         self.least = size - Q + 1 - self.edits * Q
+        self.start = np.array(starts, np.int64)
+        #: Of each whole item: the most edits and the lowest bound of its segments.
+        self.most, self.lowest = np.zeros(len(of), np.int64), np.full(len(of), 10**6)
+        np.maximum.at(self.most, each[:, 1], self.edits)
+        np.minimum.at(self.lowest, each[:, 1], self.least)
+        none = np.zeros(0, np.int64)
         codes = np.concatenate([np.zeros(0, np.uint64), *codes])
         order = np.argsort(codes, kind="stable")
-        self.of = np.concatenate([np.zeros(0, np.int64), *of])[order]
-        self.at = np.concatenate([np.zeros(0, np.int64), *at])[order]
+        self.gram = order
+        self.of, self.at = np.concatenate([none, *of]), np.concatenate([none, *at])
+        self.span = int(self.at.max(initial=0)) + 1
+        cover, by = np.concatenate([none, *cover]), np.concatenate([none, *by])
+        self.by = by[np.argsort(cover, kind="stable")]
+        self.covered = np.append(0, np.cumsum(np.bincount(cover, minlength=total)))
         self.codes, first = np.unique(codes[order], return_index=True)
         self.first = np.append(first, len(codes))
         self.filter = np.zeros(1 << 22, dtype=bool)
         self.filter[(self.codes * _SPREAD) >> np.uint64(42)] = True
 
     def regions(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Segment and band (of diagonals: place in the text less place in the segment) that meet the bound."""
+        """Segment and band (of diagonals: place in the text less place in the segment) that meet the bound. Only
+        grams in a band of their whole item that meets the lowest bound of its segments are dealt to segments."""
         grams = _grams(points)
         none = np.zeros(0, np.int64)
         hit = np.flatnonzero(self.filter[(grams * _SPREAD) >> np.uint64(42)])
@@ -88,15 +131,20 @@ class Benchmark:
         right = self.codes[entry] == grams[hit]
         hit, entry = hit[right], entry[right]
         counts = self.first[entry + 1] - self.first[entry]
-        which = np.repeat(self.first[entry], counts) + ranges(counts)
-        segment = self.of[which]
-        diagonal = np.repeat(hit, counts) - self.at[which] + SEGMENT
-        band = diagonal // BAND
-        twice = diagonal % BAND < self.edits[segment]
-        wide = len(points) // BAND + 64
-        key = np.concatenate([segment * wide + band, segment[twice] * wide + band[twice] - 1])
-        key = key[key >= 0]
-        found, counts = np.unique(key, return_counts=True)
+        gram = self.gram[np.repeat(self.first[entry], counts) + ranges(counts)]
+        hit, item = np.repeat(hit, counts), self.of[gram]
+        key, before, wide = _bands(item, hit - self.at[gram] + self.span, self.most[item], len(points) + self.span)
+        found, counts = np.unique(np.concatenate([key, before[before >= 0]]), return_counts=True)
+        found = found[counts >= self.lowest[found // wide]]
+        if not len(found):
+            return none, none
+        kept = _among(key, found) | _among(before, found)
+        hit, gram = hit[kept], gram[kept]
+        counts = self.covered[gram + 1] - self.covered[gram]
+        segment = self.by[np.repeat(self.covered[gram], counts) + ranges(counts)]
+        diagonal = np.repeat(hit - self.at[gram], counts) + self.start[segment] + SEGMENT
+        key, before, wide = _bands(segment, diagonal, self.edits[segment], len(points) + SEGMENT)
+        found, counts = np.unique(np.concatenate([key, before[before >= 0]]), return_counts=True)
         segment, band = found // wide, found % wide
         good = counts >= self.least[segment]
         return segment[good], band[good]
@@ -104,30 +152,33 @@ class Benchmark:
     def align(self, points: np.ndarray, segment: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least edits of each segment against the text along the band's diagonals, and where that ends."""
         best, end = np.full(len(segment), 10**6), np.zeros(len(segment), np.int64)
+        around = np.concatenate([none := np.full(PAD, 2**32 - 1, np.uint32), points, none])
+        order = np.argsort(self.least[segment], kind="stable")  # alike in size, so that short ones end early
         for lo in range(0, len(segment), 512):
-            s, d0 = segment[lo : lo + 512], band[lo : lo + 512] * BAND - SEGMENT
+            part = order[lo : lo + 512]
+            s, d0 = segment[part], band[part] * BAND - SEGMENT
             size = np.array([len(self.segments[i]) for i in s])
             top = int(size.max(initial=0))
-            pattern = np.zeros((len(s), top), np.int64)
+            pattern = np.zeros((len(s), top), np.uint32)
             for row, i in enumerate(s):
                 pattern[row, : size[row]] = self.segments[i]
             width = BAND + int(self.edits[s].max(initial=0))
             diagonals = d0[:, None] + np.arange(width)
-            step = np.arange(width)
-            cost = np.where((diagonals >= 0) & (diagonals <= len(points)), 0, 10**6)
+            at = diagonals + PAD
+            edge = diagonals.min() < 0 or diagonals.max() + top > len(points)
+            step = np.arange(width, dtype=np.int32)
+            cost = np.where((diagonals >= 0) & (diagonals <= len(points)), 0, 10**6).astype(np.int32)
             for i in range(top + 1):
                 if i:
-                    at = diagonals + i - 1
-                    inside = (at >= 0) & (at < len(points))
-                    same = inside & (points[np.clip(at, 0, max(0, len(points) - 1))] == pattern[:, i - 1 : i])
-                    fresh = np.where(inside, cost + ~same, 10**6)
+                    fresh = cost + (around[at + (i - 1)] != pattern[:, i - 1 : i])
                     fresh[:, :-1] = np.minimum(fresh[:, :-1], cost[:, 1:] + 1)
                     cost = np.minimum.accumulate(fresh - step, axis=1) + step
-                    cost = np.where((diagonals + i >= 0) & (diagonals + i <= len(points)), cost, 10**6)
+                    if edge:
+                        cost[(diagonals + i < 0) | (diagonals + i > len(points))] = 10**6
                 done = np.flatnonzero(size == i)
                 if len(done):
                     j = cost[done].argmin(axis=1)
-                    best[lo + done], end[lo + done] = cost[done, j], diagonals[done, j] + i
+                    best[part[done]], end[part[done]] = cost[done, j], diagonals[done, j] + i
         return best, end
 
     def find(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -81,3 +81,33 @@ def test_bands_hold_all_edits():
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         segment, edits, _ = known.find(points)
         assert 0 in segment and min(edits[segment == 0]) == least_edits("".join(map(chr, known.segments[0])), text)
+
+
+def test_excerpts_at_all_offsets():
+    """Of any item a passage of PASSAGE characters, from whatever offset, also with SHORT // FEW edits."""
+    rng = random.Random(4)
+    say = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    sizes = [80, 81, 97, 119, 120, 121, 150, 181, 226, 394]
+    items = [(i, dc.normal(say(2 * n))[:n].strip()) for i, n in enumerate(sizes)]
+    items = [(i, t) for i, t in items if len(t) >= 80]
+    known = dc.Benchmark(items)
+    n = 0
+    for item, text in items:
+        for start in range(len(text) - 79):
+            for part in (text[start : start + 80], edit(rng, text[start : start + 80], 3)):
+                segment, _, _ = known.find(dc._points(f"{say(50)}{part}{say(50)}"))
+                assert item in {known.item[s] for s in segment}, (item, start)
+                n += 1
+    assert n > 1000
+    segment, _, _ = known.find(dc._points(say(100_000)))
+    assert not len(segment)
+
+
+def test_tails_of_items_at_the_ends_of_a_text():
+    item = "".join(random.Random(6).choices("abcdefgh", k=400))
+    known = dc.Benchmark([(1, item)])
+    for cut in range(1, 120):
+        for text in (item[cut:120], item[120 - cut : 240], item[:cut], item[60:180] + item[cut:120]):
+            segment, edits, end = known.find(dc._points(text))
+            assert all(least_edits("".join(map(chr, known.segments[s])), text) <= e <= known.edits[s] for s, e in zip(segment[:1].tolist(), edits[:1].tolist(), strict=True))
+            assert (end <= len(text)).all()
