@@ -1,9 +1,9 @@
 """Merkle fixity audit of WARC archives.
 
 Pages are serialised as WARC records and laid out one after the other in archives of FANOUT ** LEVELS records.
-A leaf is a record's offset range and hash; a node is the hash of its FANOUT children in offset order, with
-their ranges, up to one root an archive. Two replicas of a layout are compared from their roots; only the
-children of nodes that differ are compared on the next level, down to the records that are corrupt.
+A leaf is the hash of a record's offset range and hash; a node is the hash of its FANOUT children in offset order, with
+their ranges, up to one root an archive. Two replicas, each with a layout of its own, are compared from their roots;
+only the children of nodes that differ or lack a partner are compared on the next level, down to the records.
 
 Positions come from a range partitioning on (id, url, hash) and counts by partition, so no archive, id or url
 gathers in one task. Defined results: records that agree in id, url and content are one record with `copies`; a
@@ -51,7 +51,8 @@ def layout(pages: DataFrame, replica: Column | None = None, id_col: str = "page_
 
 def nodes(leaves: DataFrame, digest: str) -> list[DataFrame]:
     """Levels of the trees, leaves first: archive, node, offset, length, digest."""
-    level = leaves.select("archive", F.col("seq").alias("node"), "offset", "length", F.col(digest).alias("digest"))
+    text = F.concat_ws(":", F.col("offset").cast("string"), F.col("length").cast("string"), F.col(digest))
+    level = leaves.select("archive", F.col("seq").alias("node"), "offset", "length", F.sha2(text, 256).alias("digest"))
     out = [level]
     for _ in range(LEVELS):
         child = F.struct("offset", "length", "digest")
@@ -64,23 +65,36 @@ def nodes(leaves: DataFrame, digest: str) -> list[DataFrame]:
 
 
 def corrupt(one: list[DataFrame], two: list[DataFrame]) -> DataFrame:
-    """archive, seq of the records in which two replicas' trees differ, found from the roots down."""
+    """archive, seq of the records in which two replicas' trees differ, found from the roots down. A node that only
+    one of them has differs."""
     suspects = None
     for a, b in zip(reversed(one), reversed(two), strict=True):
-        a, b = a.withColumnRenamed("digest", "mine"), b.select("archive", "node", F.col("digest").alias("other"))
+        a, b = a.select("archive", "node", F.col("digest").alias("mine")), b.select("archive", "node", F.col("digest").alias("other"))
         if suspects is not None:
             parents = suspects.select(F.col("archive"), F.col("node").alias("parent"))
-            a = a.withColumn("parent", F.floor(F.col("node") / FANOUT).cast("int")).join(parents, ["archive", "parent"], "left_semi")
-        suspects = written(a.join(b, ["archive", "node"]).where("mine <> other").select("archive", "node"), "suspects")
+            a, b = (x.withColumn("parent", F.floor(F.col("node") / FANOUT).cast("int")).join(parents, ["archive", "parent"], "left_semi").drop("parent") for x in (a, b))
+        differ = a.join(b, ["archive", "node"], "full_outer").where(~F.col("mine").eqNullSafe(F.col("other")))
+        suspects = written(differ.select("archive", "node"), "suspects")
     return suspects.withColumnRenamed("node", "seq")
 
 
-def audit(leaves: DataFrame) -> DataFrame:
-    """The layout with status: ok or corrupt."""
-    leaves = written(leaves, "leaves")
-    trees = []
-    for digest in ("sha256", "replica_sha256"):
-        levels = nodes(leaves, digest)
-        trees.append([levels[0], *[written(x, "nodes") for x in levels[1:]]] if LEVELS else levels)
-    bad = corrupt(*trees).withColumn("bad", F.lit(True))
-    return leaves.join(bad, ["archive", "seq"], "left").withColumn("status", F.when(F.col("bad"), "corrupt").otherwise("ok")).drop("bad")
+def _tree(leaves: DataFrame, digest: str) -> list[DataFrame]:
+    levels = nodes(leaves, digest)
+    return [levels[0], *[written(x, "nodes") for x in levels[1:]]]
+
+
+def audit(leaves: DataFrame, replica: DataFrame | None = None) -> DataFrame:
+    """The layout with status: ok or corrupt. replica: the layout of a second replica, with its own offsets, lengths and
+    hashes. Then every place (archive, seq) of either is a row, with replica_id, replica_offset, replica_length and
+    replica_sha256; status is also missing (the replica has no record there) or extra (only the replica has one)."""
+    if replica is None:
+        leaves = written(leaves, "leaves")
+        bad = corrupt(_tree(leaves, "sha256"), _tree(leaves, "replica_sha256")).withColumn("bad", F.lit(True))
+        return leaves.join(bad, ["archive", "seq"], "left").withColumn("status", F.when(F.col("bad"), "corrupt").otherwise("ok")).drop("bad")
+    mine = written(leaves.drop("replica_sha256"), "leaves")
+    other = written(replica.drop("replica_sha256"), "leaves")
+    bad = corrupt(_tree(mine, "sha256"), _tree(other, "sha256")).withColumn("bad", F.lit(True))
+    theirs = other.select("archive", "seq", F.lit(True).alias("there"), F.col("page_id").alias("replica_id"), F.col("offset").alias("replica_offset"), F.col("length").alias("replica_length"), F.col("sha256").alias("replica_sha256"))
+    rows = mine.withColumn("here", F.lit(True)).join(theirs, ["archive", "seq"], "full_outer").join(bad, ["archive", "seq"], "left")
+    status = F.when(F.col("bad").isNull(), "ok").when(F.col("there").isNull(), "missing").when(F.col("here").isNull(), "extra").otherwise("corrupt")
+    return rows.withColumn("status", status).drop("bad", "here", "there")

@@ -52,3 +52,34 @@ def test_same_replicas_stop_at_the_roots(spark):
 
 def test_empty(spark):
     assert warc_fixity.audit(warc_fixity.layout(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_replica_of_its_own_layout(spark, monkeypatch):
+    monkeypatch.setattr(warc_fixity, "FANOUT", 4)
+    rows = [(i, f"http://h/{i}", f"body {i} " + "x" * (i % 7)) for i in range(150)]
+    frame = lambda r: spark.createDataFrame(r, "page_id long, url string, html string").repartition(3)
+    places = lambda r: [(i, warc(i, u, h)) for i, u, h in r]
+    cases = {
+        "same": rows,
+        "truncated": [(i, u, h[:3] if i == 140 else h) for i, u, h in rows],
+        "changed": [(i, u, "#" + h[1:] if i == 70 else h) for i, u, h in rows],
+        "missing": [r for r in rows if r[0] != 145],
+        "archives lost": rows[:60],
+        "extra": [*rows, (150, "u", "more"), (151, "u", "more")],
+        "archives more": [*rows, *[(i, "u", "more") for i in range(150, 200)]],
+        "none": [],
+    }
+    mine = warc_fixity.layout(frame(rows))
+    for name, other in cases.items():
+        want, ends = {}, [0, 0]
+        both = [places(rows), places(other)]
+        for n in range(max(map(len, both))):
+            if n % 64 == 0:
+                ends = [0, 0]
+            leaf = [(ends[k], b[n][1]) if n < len(b) else None for k, b in enumerate(both)]
+            ends = [e + len(x[1]) if x else e for e, x in zip(ends, leaf, strict=True)]
+            want[n // 64, n % 64] = "ok" if leaf[0] == leaf[1] else "missing" if leaf[1] is None else "extra" if leaf[0] is None else "corrupt"
+        theirs = warc_fixity.layout(frame(other))
+        got = {(r.archive, r.seq): r.status for r in warc_fixity.audit(mine, theirs).collect()}
+        assert got == want, name
+        assert (set(want.values()) == {"ok"}) == (name == "same")
