@@ -12,8 +12,10 @@ repeat are packed each; an empty table gives no pieces.
 from __future__ import annotations
 
 import gc
+import json
 import string
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -29,9 +31,14 @@ from .common import pick, slabs, text_of, written
 
 SIZE = 2048
 END_ID = 1
-#: Entries of a generation of a worker's cache, of about 200 bytes each; there are two generations. A caller that
+#: Entries of a generation of a worker's cache, of about 180 bytes each; there are two generations. A caller that
 #: needs the memory for more can take fewer; ids stay the same.
-CACHE = 900_000
+CACHE = 400_000
+
+#: How a vocabulary must treat a text for its words to be encoded one by one.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 _ODD = regex.compile(r"[\x1c-\x1f]|<\|")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -41,89 +48,84 @@ _tokenizers: dict[str, "CachedTokenizer"] = {}
 
 def _split(word: str) -> list[str]:
     """The runs that the vocabulary's pattern finds in a lower-case word of Latin letters and signs."""
+    if word.isalpha():
+        return [word]
     body = word.rstrip(_SIGNS)
     return [body, word[len(body) :]] if body.isalpha() else _PIECES.findall(word)
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself where it prints, else one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Known(dict):
+    """Ids by word; what is missing is made when it is asked for. Two generations: when the young one is full,
+    it becomes the old one, and what isn't met until it is full again is forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
+        self[key] = ids
+        return ids
+
+    def age(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
+
 class CachedTokenizer:
-    """Token ids, as little-endian 32-bit bytes, of whole texts. White space ends a token of this vocabulary, so
-    a text's ids are those of its words one after the other; words, and the runs of letters and signs that a
-    word of Latin letters splits into, are encoded once. A text with a sign that breaks this is encoded whole.
-    What was not met since the cache last filled up is forgotten when it fills up again."""
+    """Token ids, as little-endian 32-bit bytes, of whole texts. White space ends a token of the known kind of
+    vocabulary, so a text's ids are those of its words one after the other, and a word of Latin letters and signs
+    has those of the runs that it splits into. A text with a sign that breaks this is encoded whole, and so is every
+    text if the vocabulary's own settings are others."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: int | None = None
-        vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
-
-    def _encode(self, parts: list[str], runs: bool) -> list[bytes]:
-        """Ids of parts without white space inside, by one call. runs: each part is one run."""
-        if not parts:
-            return []
-        if runs:
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(parts)], add_special_tokens=False)[0].ids, "<u4")
-            bounds = np.flatnonzero(self.last[ids]) + 1
-            if len(bounds) != len(parts):
-                return self._encode(parts, False)
-        else:
-            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-            got = self.tokenizer.encode("\n".join(parts), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            bounds = np.searchsorted(np.fromiter((a for a, _ in got.offsets), np.int64, len(ids)), ends)
-        whole, bounds = ids.tobytes(), (4 * bounds).tolist()
-        return [whole[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
-
-    def _learn(self, new: set[str]) -> None:
-        if self.old_words:
-            again = new & self.old_words.keys()
-            self.words.update(zip(again, map(self.old_words.__getitem__, again), strict=True))
-            new = new - again
-        odd = [w for w in new if not w.isascii() and max(w) >= "ƀ"]
-        plain = list(new.difference(odd))
-        split = [[w] if w.isalpha() else _split(w) for w in map(str.lower, plain)]
-        runs = {p for s in split for p in s} - self.pieces.keys()
-        again = runs & self.old_pieces.keys()
-        self.pieces.update(zip(again, map(self.old_pieces.__getitem__, again), strict=True))
-        runs = list(runs - again)
-        self.pieces.update(zip(runs, self._encode(runs, True), strict=True))
-        piece = self.pieces.__getitem__
-        self.words.update((w, piece(s[0]) if len(s) == 1 else b"".join(map(piece, s))) for w, s in zip(plain, split, strict=True))
-        self.words.update(zip(odd, self._encode(odd, False), strict=True))
+        with open(path, encoding="utf-8") as file:
+            kind = json.load(file)
+        normal, split, model = kind.get("normalizer") or {}, kind.get("pre_tokenizer") or {}, kind["model"]
+        marks = {t["content"] for t in kind.get("added_tokens") or []}
+        self.by_word = (
+            normal.get("normalizers") == _NORMAL and split.get("pretokenizers") == [_SPLIT, _BYTES] and model.get("end_of_word_suffix") == "</w>"
+            and not model.get("dropout") and kind.get("truncation") is None and kind.get("padding") is None and all(m.startswith("<|") for m in marks)
+        )
+        self.limit: int | None = None
+        self.model, self.signs = self.tokenizer.model, _byte_signs()
+        self.pieces = _Known(self._piece)
+        self.words = _Known(self._word)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, run: str) -> bytes:
+        body = run if run.isascii() else run.encode().decode("latin-1").translate(self.signs)
+        return array("I", [t.id for t in self.model.tokenize(body)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii() and max(word) >= "ƀ":
+            return self._whole(word)
+        lower = word.lower()
+        return self._piece(lower) if lower.isalpha() else b"".join(map(self.pieces.__getitem__, _split(lower)))
 
     def __call__(self, texts: list[str], odd: bool = True) -> list[bytes]:
         """Ids of each text. odd: whether some text may hold a sign that stops it from being split."""
-        if len(self.words) + len(self.pieces) > (self.cache or CACHE):
-            self.old_words, self.old_pieces, self.words, self.pieces = self.words, self.pieces, {}, {}
-        out: list[bytes | None] = []
-        wait: dict[int, list[str]] = {}
-        new: set[str] = set()
-        known = self.words.get
-        for i, t in enumerate(texts):
-            if odd and _ODD.search(t):
-                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            words = t.split()
-            ids = list(map(known, words))
-            if None in ids:
-                new.update([w for w, x in zip(words, ids, strict=True) if x is None])
-                wait[i] = words
-                out.append(None)
-            else:
-                out.append(b"".join(ids))
-        if new:
-            self._learn(new)
+        if not self.by_word:
+            return list(map(self._whole, texts))
+        if len(self.words) + len(self.pieces) > (self.limit or CACHE):
+            self.words.age()
+            self.pieces.age()
         known = self.words.__getitem__
-        for i, words in wait.items():
-            out[i] = b"".join(map(known, words))
-        return out
+        return [self._whole(t) if odd and _ODD.search(t) else b"".join(map(known, t.split())) for t in texts]
 
 
 def default_path() -> str:
@@ -143,15 +145,17 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         if path not in _tokenizers:
             _tokenizers[path] = CachedTokenizer(path)
         encode, task, seen = _tokenizers[path], TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
-        encode.cache = cache
+        encode.limit = cache
         last = np.array([end_id], "<u4").tobytes()
         for slab in slabs(batches, "text"):
             out: dict[str, list] = defaultdict(list)
             ids = slab.rows.column("doc_id").to_pylist()
             odd = bool(((slab.data >= 0x1C) & (slab.data <= 0x1F)).any()) or b"<|" in slab.data.tobytes()
             gc.disable()  # nothing in the cache is cyclic, but each pass of the collector would walk it
-            bodies = encode(slab.rows.column("text").to_pylist(), odd)
-            gc.enable()
+            try:
+                bodies = encode(slab.rows.column("text").to_pylist(), odd)
+            finally:
+                gc.enable()
             for doc_id, body in zip(ids, bodies, strict=True):
                 body += last
                 total = len(body) // 4

@@ -75,3 +75,48 @@ def test_patterns_place_every_piece():
 
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_little_padding():
+    rng = random.Random(5)
+    for size, n in ((64, 4000), (2048, 20_000)):
+        histogram = defaultdict(int)
+        for _ in range(n):
+            histogram[min(size, max(1, int(rng.expovariate(3 / size))))] += 1
+        packs = packing.patterns(dict(histogram), size)
+        tokens = sum(length * count for length, count in histogram.items())
+        assert sum(count for count, _ in packs) <= 1.02 * -(-tokens // size) + 1
+
+
+def test_histogram_packs_like_one_by_one():
+    """Against placing each piece alone, longest first, into the sequence with the most room."""
+    rng = random.Random(6)
+    for _ in range(30):
+        size = rng.choice([8, 16, 50])
+        histogram = {length: rng.randint(1, 30) for length in rng.sample(range(1, size + 1), rng.randint(1, size))}
+        rooms = []
+        for length in sorted((x for x, n in histogram.items() for _ in range(n)), reverse=True):
+            if rooms and max(rooms) >= length:
+                rooms.remove(room := max(rooms))
+                rooms.append(room - length)
+            else:
+                rooms.append(size - length)
+        assert abs(sum(c for c, _ in packing.patterns(histogram, size)) - len(rooms)) <= max(1, len(rooms) // 50)
+
+
+def test_other_vocabularies_are_encoded_whole():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, encode = Tokenizer.from_file(path), packing.CachedTokenizer(path)
+    assert not encode.by_word and packing.CachedTokenizer(packing.default_path()).by_word
+    for t in [*STRANGE, "Two  Words\n"]:
+        assert np.frombuffer(encode([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_odd_white_space():
+    tokenizer, encode = Tokenizer.from_file(packing.default_path()), packing.CachedTokenizer(packing.default_path())
+    rng = random.Random(3)
+    signs = [*"\t\n\x0b\x0c\r \x85\xa0      　​﻿᠎", *"abéÉß'sT1.,ǅŉΣ"]
+    for t in ("".join(rng.choices(signs, k=40)) for _ in range(300)):
+        assert np.frombuffer(encode([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
