@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import itertools
 import shutil
 import tempfile
@@ -84,8 +86,20 @@ class Slab:
         return self.rows.num_rows
 
 
-def slabs(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 << 20) -> Iterator[Slab]:
+def give_back() -> None:
+    """Returns freed memory of a worker that goes on to live to the system: Arrow's pool, then the C library's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slabs(batches: Iterator[pa.RecordBatch], text: str, limit: int = 512 << 10) -> Iterator[Slab]:
     """Batches in slabs of about `limit` bytes of text; a longer single text is a slab of its own."""
+    yield from _slabs(batches, text, limit)
+    give_back()
+
+
+def _slabs(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[Slab]:
     for batch in batches:
         if not batch.num_rows:
             continue
