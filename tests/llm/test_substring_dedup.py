@@ -49,5 +49,38 @@ def test_against_brute_force(spark):
         assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == brute(rows)
 
 
+def rows_of(df):
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in df.collect()), key=str)
+
+
+def test_keys_that_collide(spark):
+    rows = passages(9)
+    for bits in (2, 7):
+        assert rows_of(substring_dedup.cut_repeats(documents(spark, rows), key_bits=bits)) == brute(rows)
+
+
+def test_words_whose_polynomial_hashes_collide(spark):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    around = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join([*around[:30], word, *around[30:]])), (2, " ".join([*around[:30], word.translate(str.maketrans("ab", "ba")), *around[30:]]))]
+    got = rows_of(substring_dedup.cut_repeats(documents(spark, rows)))
+    assert got == brute(rows) and [r[2] for r in got] == [0, 0]
+
+
+def test_partitions_do_not_matter(spark):
+    rows = passages(10)
+    docs = documents(spark, rows)
+    assert rows_of(substring_dedup.cut_repeats(docs.repartition(1))) == rows_of(substring_dedup.cut_repeats(docs.repartition(8))) == brute(rows)
+
+
+def test_factors_end_where_words_part():
+    mine = [b"%d" % i for i in range(200)]
+    other = [*mine[:120], b"x", *mine[121:]]
+    factors, odd = substring_dedup.parse(mine, [(0, 151, other)])
+    assert factors == [(0, 120), (121, 200)] and odd == list(range(71, 121))
+
+
 def test_empty(spark):
     assert substring_dedup.cut_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
