@@ -6,16 +6,18 @@ enough that every passage of PASSAGE characters of an item holds one whole: an e
 wherever it begins, with up to SHORT // FEW edits. A segment of m characters occurs if some part of the text is
 within k = m // EDITS edits (short ones: m // FEW). Such a part shares m - q + 1 - k q or more of the segment's
 character q-grams with it, on k + 1 neighbouring diagonals. Shared q-grams are counted in bands of BAND + k
-diagonals that overlap by k, so that one band holds them all; bands that meet the bound are regions, and a banded
-alignment of the region decides.
+diagonals of one row that overlap by k, so that one band holds them all; bands that meet the bound are regions, and a
+banded alignment of the region, which does not leave the row, decides.
 
 The benchmark is taken in blocks of BLOCK characters, each one pass over the documents: what goes to the
 executors is bounded. Defined results: null text is empty; segments under 2 q characters are looked for without
-edits, items under q characters are not looked for; items that repeat are found each; rows that repeat stay.
+edits, items under q characters as whole words without edits; an item without letters and digits is in no document;
+items that repeat are found each; rows that repeat stay.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -31,10 +33,13 @@ Q, SEGMENT, EDITS, BAND = 8, 120, 10, 32
 SHORT, PASSAGE, FEW = 64, 80, 20
 BLOCK = 4_000_000
 #: Signs around a slab that match nothing; no diagonal of a region leaves them.
-PAD = 2 * SEGMENT + 2 * BAND
+PAD = 3 * SEGMENT + 2 * BAND
 _OTHER = regex.compile(r"[\W_]+")
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
+#: The block that this worker searched last, by the name of its broadcast.
+_built: dict[str, "Benchmark"] = {}
+
 
 def normal(text: str) -> str:
     return _OTHER.sub(" ", text.lower()).strip()
@@ -78,11 +83,15 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]]):
         self.item: list[int] = []
         self.segments: list[np.ndarray] = []
+        #: Items under Q characters, by their text.
+        self.short: dict[str, list[int]] = {}
         starts, each, codes, of, at, cover, by = [], [], [], [], [], [], []
         total = 0
         for item, text in items:
-            points = _points(normal(text))
+            points = _points(body := normal(text))
             if len(points) < Q:
+                if body:
+                    self.short.setdefault(body, []).append(item)
                 continue
             grams = _grams(points)
             codes.append(grams)
@@ -119,74 +128,93 @@ class Benchmark:
         self.filter = np.zeros(1 << 22, dtype=bool)
         self.filter[(self.codes * _SPREAD) >> np.uint64(42)] = True
 
-    def regions(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Segment and band (of diagonals: place in the text less place in the segment) that meet the bound. Only
-        grams in a band of their whole item that meets the lowest bound of its segments are dealt to segments."""
+    def regions(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Segment, row and band (of diagonals: place in the row less place in the segment) that meet the bound. Rows
+        begin at `starts` and end a sign before the next. Only grams in a band of their whole item that meets the lowest
+        bound of its segments are dealt to segments."""
         grams = _grams(points)
         none = np.zeros(0, np.int64)
         hit = np.flatnonzero(self.filter[(grams * _SPREAD) >> np.uint64(42)])
         if not len(hit) or not len(self.codes):
-            return none, none
+            return none, none, none
         entry = np.minimum(np.searchsorted(self.codes, grams[hit]), len(self.codes) - 1)
-        right = self.codes[entry] == grams[hit]
-        hit, entry = hit[right], entry[right]
+        row = np.searchsorted(starts, hit, "right") - 1
+        right = (self.codes[entry] == grams[hit]) & (hit + Q < starts[row + 1])  # no gram leaves its row
+        hit, entry, row = hit[right], entry[right], row[right]
+        hit = hit - starts[row]
         counts = self.first[entry + 1] - self.first[entry]
         gram = self.gram[np.repeat(self.first[entry], counts) + ranges(counts)]
-        hit, item = np.repeat(hit, counts), self.of[gram]
-        key, before, wide = _bands(item, hit - self.at[gram] + self.span, self.most[item], len(points) + self.span)
+        hit, row, item = np.repeat(hit, counts), np.repeat(row, counts), self.of[gram]
+        longest, items, parts = int(np.diff(starts).max()), len(self.most), len(self.segments)
+        key, before, wide = _bands(row * items + item, hit - self.at[gram] + self.span, self.most[item], longest + self.span)
         found, counts = np.unique(np.concatenate([key, before[before >= 0]]), return_counts=True)
-        found = found[counts >= self.lowest[found // wide]]
+        found = found[counts >= self.lowest[found // wide % items]]
         if not len(found):
-            return none, none
+            return none, none, none
         kept = _among(key, found) | _among(before, found)
-        hit, gram = hit[kept], gram[kept]
+        hit, row, gram = hit[kept], row[kept], gram[kept]
         counts = self.covered[gram + 1] - self.covered[gram]
         segment = self.by[np.repeat(self.covered[gram], counts) + ranges(counts)]
         diagonal = np.repeat(hit - self.at[gram], counts) + self.start[segment] + SEGMENT
-        key, before, wide = _bands(segment, diagonal, self.edits[segment], len(points) + SEGMENT)
+        key, before, wide = _bands(np.repeat(row, counts) * parts + segment, diagonal, self.edits[segment], longest + SEGMENT)
         found, counts = np.unique(np.concatenate([key, before[before >= 0]]), return_counts=True)
-        segment, band = found // wide, found % wide
+        segment, row, band = found // wide % parts, found // wide // parts, found % wide
         good = counts >= self.least[segment]
-        return segment[good], band[good]
+        return segment[good], row[good], band[good]
 
-    def align(self, points: np.ndarray, segment: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least edits of each segment against the text along the band's diagonals, and where that ends."""
+    def align(self, points: np.ndarray, starts: np.ndarray, segment: np.ndarray, row: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least edits of each segment against its row along the band's diagonals, and where in the row that ends."""
+        low, high = starts[row], starts[row + 1] - 1
         best, end = np.full(len(segment), 10**6), np.zeros(len(segment), np.int64)
         around = np.concatenate([none := np.full(PAD, 2**32 - 1, np.uint32), points, none])
-        order = np.argsort(self.least[segment], kind="stable")  # alike in size, so that short ones end early
+        place = band * BAND - SEGMENT
+        near_edge = (place < 0) | (place + BAND + 2 * SEGMENT > high - low)
+        order = np.lexsort((near_edge, self.least[segment]))  # alike in size, so that short ones end early
         for lo in range(0, len(segment), 512):
             part = order[lo : lo + 512]
-            s, d0 = segment[part], band[part] * BAND - SEGMENT
+            s, first, last = segment[part], low[part, None], high[part, None]
             size = np.array([len(self.segments[i]) for i in s])
             top = int(size.max(initial=0))
             pattern = np.zeros((len(s), top), np.uint32)
             for row, i in enumerate(s):
                 pattern[row, : size[row]] = self.segments[i]
             width = BAND + int(self.edits[s].max(initial=0))
-            diagonals = d0[:, None] + np.arange(width)
-            at = diagonals + PAD
-            edge = diagonals.min() < 0 or diagonals.max() + top > len(points)
+            diagonals = first + place[part, None] + np.arange(width)
+            at = np.clip(diagonals, -PAD, len(points) + PAD - top) + PAD
+            edge = near_edge[part].any()
             step = np.arange(width, dtype=np.int32)
-            cost = np.where((diagonals >= 0) & (diagonals <= len(points)), 0, 10**6).astype(np.int32)
+            cost = np.where((diagonals >= first) & (diagonals <= last), 0, 10**6).astype(np.int32)
             for i in range(top + 1):
                 if i:
                     fresh = cost + (around[at + (i - 1)] != pattern[:, i - 1 : i])
                     fresh[:, :-1] = np.minimum(fresh[:, :-1], cost[:, 1:] + 1)
                     cost = np.minimum.accumulate(fresh - step, axis=1) + step
                     if edge:
-                        cost[(diagonals + i < 0) | (diagonals + i > len(points))] = 10**6
+                        cost[(diagonals < first - i) | (diagonals > last - i)] = 10**6
                 done = np.flatnonzero(size == i)
                 if len(done):
                     j = cost[done].argmin(axis=1)
-                    best[part[done]], end[part[done]] = cost[done, j], diagonals[done, j] + i
+                    best[part[done]], end[part[done]] = cost[done, j], diagonals[done, j] + i - first[done, 0]
         return best, end
 
-    def find(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Segment, edits and end of all that occur."""
-        segment, band = self.regions(points)
-        edits, end = self.align(points, segment, band)
+    def find(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Segment, edits, end and row of all that occur."""
+        segment, row, band = self.regions(points, starts)
+        edits, end = self.align(points, starts, segment, row, band)
         good = edits <= self.edits[segment]
-        return segment[good], edits[good], end[good]
+        return segment[good], edits[good], end[good], row[good]
+
+    def find_short(self, text: str) -> dict[int, int]:
+        """Items under Q characters that are whole words of the text, and where the first ends."""
+        out: dict[int, int] = {}
+        words = text.split(" ") if self.short else []
+        end = 0
+        for i, word in enumerate(words):
+            end += len(word) + (i > 0)
+            for k in range(1, Q // 2 + 1):  # so many words at most have under Q characters
+                for item in self.short.get(" ".join(words[max(0, i + 1 - k) : i + 1]), ()):
+                    out.setdefault(item, end)
+        return out
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -201,42 +229,54 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
     yield block
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """doc_id, item_id, n_segments, n_found, edits (least of a segment), at (end of the first, in the text as
-    compared), for every document that holds a segment of an item."""
-    rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), text_of("text").alias("text"))
-    names = ["doc_id", "item_id", "n_segments", "n_found", "edits", "at"]
+def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """rows (doc_id, sha, text) to doc_id, sha, item_id, n_segments, n_found, edits, at."""
+    names = ["item_id", "n_segments", "n_found", "edits", "at"]
 
     def search(block: list[tuple[int, str]]) -> DataFrame:
+        name, sent = uuid.uuid4().hex, rows.sparkSession.sparkContext.broadcast(block)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = Benchmark(block)
+            if name not in _built:
+                _built.clear()
+                _built[name] = Benchmark(sent.value)
+            known = _built[name]
             item = np.array([-1 if i is None else i for i in known.item], np.int64)
-            of_item = {i: int((item == i).sum()) for i in set(item.tolist())}
+            of_item = dict(zip(*[x.tolist() for x in np.unique(item, return_counts=True)], strict=True))
             for slab in slabs(batches, "text"):
                 texts = [normal(t) for t in slab.rows.column("text").to_pylist()]
                 starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
                 points = _points("\n".join(texts) + "\n")
-                segment, edits, end = known.find(points)
-                if not len(segment):
-                    continue
-                row = np.searchsorted(starts, end - 1, "right") - 1
-                ids = slab.rows.column("doc_id").to_pylist()
+                segment, edits, end, row = known.find(points, starts)
                 found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
                 for s, e, a, r in zip(segment.tolist(), edits.tolist(), end.tolist(), row.tolist(), strict=True):
-                    found.setdefault((r, int(item[s])), []).append((s, e, a - int(starts[r])))
-                out = [(ids[r], i, of_item[i], len({s for s, _, _ in f}), min(e for _, e, _ in f), min(a for _, _, a in f)) for (r, i), f in found.items()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
+                    found.setdefault((r, int(item[s])), []).append((s, e, a))
+                out = [(r, i, of_item[i], len({s for s, _, _ in f}), min(e for _, e, _ in f), min(a for _, _, a in f)) for (r, i), f in found.items()]
+                if known.short:
+                    out += [(r, i, 1, 1, 0, a) for r, t in enumerate(texts) for i, a in known.find_short(t).items()]
+                if out:
+                    columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
+                    yield pa.RecordBatch.from_arrays([slab.rows.column("doc_id").take(columns[0]), slab.rows.column("sha").take(columns[0]), *columns[1:]], names=["doc_id", "sha", *names])
 
-        return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+        return rows.mapInArrow(run, "doc_id long, sha string, " + ", ".join(f"{n} long" for n in names))
 
-    return reduce(DataFrame.union, [search(b) for b in _blocks(benchmark, item_col, item_text_col)])
+    return reduce(DataFrame.union, [search(b) for b in _blocks(benchmark, item_col, text_col)])
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """doc_id, item_id, n_segments, n_found, edits (least of a segment), at (end of the first, in the text as
+    compared), for every document that holds a segment of an item."""
+    rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.lit("").alias("sha"), text_of("text").alias("text"))
+    return _leaks(rows, benchmark, item_col, item_text_col).drop("sha")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that hold no segment of an item. All columns; rows with null doc_id stay."""
+    """The rows of docs that hold no segment of an item. All columns; a row is known by its doc_id and text, so other
+    rows of that doc_id, or of none, are judged by their own texts."""
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    key = f"c{column(docs, id_col)}"
-    lost = written(leaks(plain, benchmark, key, f"c{column(docs, text_col)}").select("doc_id").distinct(), "leaks")
-    out = plain.join(lost, F.col(key).cast("long") == F.col("doc_id"), "left_anti")
+    key, text = F.col(f"c{column(docs, id_col)}").cast("long"), text_of(f"c{column(docs, text_col)}")
+    rows = plain.select(key.alias("doc_id"), F.sha2(text, 256).alias("sha"), text.alias("text"))
+    lost = written(_leaks(rows, benchmark, "item_id", "text").select(F.col("doc_id").alias("d"), F.col("sha").alias("s")).distinct(), "leaks")
+    out = plain.join(lost, (F.sha2(text, 256) == F.col("s")) & key.eqNullSafe(F.col("d")), "left_anti")
     return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
