@@ -2,8 +2,8 @@
 
 A document is a bag of passages of 64 words. Each passage is encoded (hashed byte pairs and word shapes, then a
 learned layer); gated attention weighs the passages; the weighted sum is scored. Only documents have labels, so
-the weights are learned from them. Training takes a bounded, documented sample of labelled rows (`sample`, by
-hash order of their id); scoring reads every passage of every document.
+the weights are learned from them. Training takes a bounded, documented sample: `sample` labelled ids by hash order, one
+row of each, and MOST passages of a row at most, spread evenly over it. Scoring reads every passage of every document.
 
 Defined results: null text is empty; an empty document is one passage without features and still gets a score;
 rows that repeat are scored each; with no usable label, or labels of one class, every score is that class's
@@ -28,6 +28,8 @@ SHAPES = 8
 WIDTH = PAIRS + SHAPES
 #: Labelled rows to learn from, at most.
 SAMPLE = 3000
+#: Passages of a row to learn from, at most: with SAMPLE, 200 MB on the driver.
+MOST = 32
 
 _KIND = np.zeros(256, np.int64)  # 1 lower-case letter, 2 upper, 3 digit, 4 other ASCII sign, 5 byte of a longer character
 _KIND[ord("a") : ord("z") + 1] = 1
@@ -99,6 +101,20 @@ class Model:
         return self.forward(x, bags)["p"].astype(float) if self.weights else np.full(len(bags), self.share)
 
 
+def gradients(model: Model, x: np.ndarray, bags: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the weighted log loss of labels y, by weight."""
+    w, f, at = model.weights, model.forward(x, bags), np.cumsum(bags) - bags
+    h, t, s, a, z = f["h"], f["t"], f["s"], f["a"], f["z"]
+    d_out = (f["p"] - y) * weight
+    wide = np.repeat(d_out[:, None] * w["score"], bags, axis=0)
+    d_a = (wide * h).sum(axis=1)
+    d_a = a * (d_a - np.repeat(np.add.reduceat(a * d_a, at), bags))
+    d_g = d_a[:, None] * w["attend"]
+    d_t, d_s = d_g * s * (1 - t * t), d_g * t * s * (1 - s)
+    d_h = (a[:, None] * wide + d_t @ w["value"].T + d_s @ w["gate"].T) * (1 - h * h)
+    return {"encode": x.T @ d_h, "encode_bias": d_h.sum(axis=0), "value": h.T @ d_t, "gate": h.T @ d_s, "attend": (t * s).T @ d_a, "score": z.T @ d_out, "score_bias": d_out.sum(keepdims=True)}
+
+
 def train(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = 40, hidden: int = 48, gated: int = 24, rate: float = 0.004, decay: float = 1e-4, seed: int = 7) -> Model:
     """Weights learned by Adam on documents' labels y (0 or 1); both classes count the same."""
     if not len(y) or y.min() == y.max():
@@ -117,17 +133,7 @@ def train(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = 40, hidd
             b = bags[part]
             rows = np.repeat(at[part], b) + ranges(b)
             xs = x[rows]
-            f = model.forward(xs, b)
-            h, t, s, a, z = f["h"], f["t"], f["s"], f["a"], f["z"]
-            d_out = (f["p"] - y[part]) * weight[part] / len(part)
-            d_z = d_out[:, None] * w["score"]
-            wide = np.repeat(d_z, b, axis=0)
-            d_a = (wide * h).sum(axis=1)
-            d_a = a * (d_a - np.repeat(np.add.reduceat(a * d_a, np.cumsum(b) - b), b))
-            d_g = d_a[:, None] * w["attend"]
-            d_t, d_s = d_g * s * (1 - t * t), d_g * t * s * (1 - s)
-            d_h = (a[:, None] * wide + d_t @ w["value"].T + d_s @ w["gate"].T) * (1 - h * h)
-            grads = {"encode": xs.T @ d_h, "encode_bias": d_h.sum(axis=0), "value": h.T @ d_t, "gate": h.T @ d_s, "attend": (t * s).T @ d_a, "score": z.T @ d_out, "score_bias": d_out.sum(keepdims=True)}
+            grads = gradients(model, xs, b, y[part], weight[part] / len(part))
             step += 1
             for k, g in grads.items():
                 m, v = moments[k]
@@ -141,9 +147,10 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), text_of("text").alias("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, learn_from=None) -> Model:
-    """The model of `sample` labelled documents at most, taken in hash order of their id. learn_from: a condition
-    on doc_id that labelled rows must meet. Their passages' features go to the driver: about 2 kB a passage."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, learn_from=None, most: int = MOST) -> Model:
+    """The model of `sample` labelled ids at most, taken in hash order; of the rows of one id, that whose text has the
+    least hash, and `most` of its passages. learn_from: a condition on doc_id that labelled rows must meet. The passages'
+    features go to the driver: 2 kB each, sample * most of them at most."""
     marks = pick(labels, doc_id=column_of(labels, id_col), y=label_col).select(F.col("doc_id").cast("long"), F.col("y").cast("int")).where("doc_id is not null and y in (0, 1)")
     if learn_from is not None:
         marks = marks.where(learn_from)
@@ -153,12 +160,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for slab in slabs(batches, "text"):
             x, bags = passages(slab.data, slab.bounds)
             ends = np.cumsum(bags)
-            blobs = [x[b - n : b].tobytes() for b, n in zip(ends, bags, strict=True)]
+            blobs = [x[b - n : b][np.unique(np.linspace(0, n - 1, min(n, most)).round().astype(int))].tobytes() for b, n in zip(ends, bags, strict=True)]
+            bags = np.minimum(bags, most)
             yield pa.RecordBatch.from_arrays([slab.rows.column("doc_id"), slab.rows.column("y"), pa.array(bags.astype(np.int64)), pa.array(blobs, pa.binary())], names=["doc_id", "y", "n", "x"])
 
     # `sample` rows of two numbers: a bounded side
-    chosen = _rows(docs, id_col, text_col).join(F.broadcast(marks), "doc_id").mapInArrow(run, "doc_id long, y int, n long, x binary")
-    got = sorted(chosen.collect(), key=lambda r: (r["doc_id"], r["n"], bytes(r["x"])))
+    chosen = _rows(docs, id_col, text_col).join(F.broadcast(marks), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    got = sorted(chosen.mapInArrow(run, "doc_id long, y int, n long, x binary").collect(), key=lambda r: r["doc_id"])
     if not got:
         return Model({})
     x = np.concatenate([np.frombuffer(bytes(r["x"]), np.float32).reshape(-1, WIDTH) for r in got])

@@ -57,3 +57,51 @@ def test_passages_cover_every_word():
     text = " ".join(f"w{i}" for i in range(1000)).encode()
     x, bags = quality.passages(np.frombuffer(text, np.uint8), np.array([0, len(text), len(text)]))
     assert bags.tolist() == [16, 1] and not x[16].any() and (np.abs(x[:16]).sum(axis=1) > 0).all()
+
+
+def test_forward_is_attention_over_passages():
+    """Against one document and one passage at a time, in plain loops."""
+    rng = np.random.default_rng(3)
+    bags = np.array([1, 4, 2])
+    x = rng.normal(0, 1, (7, quality.WIDTH))
+    model = quality.train(x.astype(np.float32), bags, np.array([0, 1, 0], np.float32), epochs=2)
+    w, at, got = model.weights, 0, model.scores(x, bags)
+    for n, p in zip(bags, got, strict=True):
+        h = [np.tanh(row @ w["encode"] + w["encode_bias"]) for row in x[at : at + n]]
+        e = [np.exp(w["attend"] @ (np.tanh(w["value"].T @ v) / (1 + np.exp(-(w["gate"].T @ v))))) for v in h]
+        z = sum(a / sum(e) * v for a, v in zip(e, h, strict=True))
+        assert abs(p - 1 / (1 + np.exp(-(z @ w["score"] + w["score_bias"][0])))) < 1e-6
+        at += n
+
+
+def test_gradients_by_differences():
+    rng = np.random.default_rng(4)
+    bags, y, weight = np.array([3, 1, 2]), np.array([1.0, 0.0, 1.0]), np.array([0.2, 0.5, 0.3])
+    x = rng.normal(0, 1, (6, quality.WIDTH)) * 0.1
+    model = quality.train(x.astype(np.float32), bags, y.astype(np.float32), epochs=1)
+    model.weights = {k: v.astype(float) + rng.normal(0, 0.1, v.shape) for k, v in model.weights.items()}
+
+    def loss():
+        p = model.scores(x, bags)
+        return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+
+    for name, grad in quality.gradients(model, x, bags, y, weight).items():
+        flat, g = model.weights[name].reshape(-1), grad.reshape(-1)
+        for k in rng.choice(len(flat), min(len(flat), 25), replace=False):
+            old, step = flat[k], 1e-5
+            flat[k] = old + step
+            up = loss()
+            flat[k] = old - step
+            down = loss()
+            flat[k] = old
+            assert abs((up - down) / (2 * step) - g[k]) < 1e-6 + 1e-4 * abs(g[k]), (name, k)
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    """Repeated labelled ids bring one row, long texts so many passages."""
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda x, bags, y, **_: seen.update(rows=len(y), passages=len(x)) or quality.Model({}))
+    rows = [(1, f"text {i}") for i in range(200)] + [(2, " ".join(words(random.Random(0), 30_000))), (3, "x"), (None, "y")]
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    quality.fit(documents(spark, rows), labels)
+    assert seen == {"rows": 3, "passages": 2 + quality.MOST}
