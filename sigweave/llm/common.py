@@ -21,6 +21,8 @@ SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
 _own_dir: str | None = None
+#: The folder of this process's tables: other jobs that share the cluster's folder have their own.
+_RUN = f"sigweave/{uuid.uuid4().hex}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,14 +67,14 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """df as a table in the shared folder. It cuts lineage, survives the loss of executors, and lets a join
     that reads it shuffle it afresh, so that adaptive execution may split hot keys."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sigweave/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{_RUN}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Deletes all tables of written(); call it when results that read them have been stored elsewhere."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/sigweave")
+    """Deletes this process's tables of written(); call it when results that read them have been stored elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{_RUN}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
