@@ -230,7 +230,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
 
 
 def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """rows (doc_id, sha, text) to doc_id, sha, item_id, n_segments, n_found, edits, at."""
+    """rows (doc_id, th, text) to doc_id, th, item_id, n_segments, n_found, edits, at."""
     names = ["item_id", "n_segments", "n_found", "edits", "at"]
 
     def search(block: list[tuple[int, str]]) -> DataFrame:
@@ -256,9 +256,9 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str)
                     out += [(r, i, 1, 1, 0, a) for r, t in enumerate(texts) for i, a in known.find_short(t).items()]
                 if out:
                     columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
-                    yield pa.RecordBatch.from_arrays([slab.rows.column("doc_id").take(columns[0]), slab.rows.column("sha").take(columns[0]), *columns[1:]], names=["doc_id", "sha", *names])
+                    yield pa.RecordBatch.from_arrays([slab.rows.column("doc_id").take(columns[0]), slab.rows.column("th").take(columns[0]), *columns[1:]], names=["doc_id", "th", *names])
 
-        return rows.mapInArrow(run, "doc_id long, sha string, " + ", ".join(f"{n} long" for n in names))
+        return rows.mapInArrow(run, "doc_id long, th long, " + ", ".join(f"{n} long" for n in names))
 
     return reduce(DataFrame.union, [search(b) for b in _blocks(benchmark, item_col, text_col)])
 
@@ -266,17 +266,17 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str)
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, n_segments, n_found, edits (least of a segment), at (end of the first, in the text as
     compared), for every document that holds a segment of an item."""
-    rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.lit("").alias("sha"), text_of("text").alias("text"))
-    return _leaks(rows, benchmark, item_col, item_text_col).drop("sha")
+    rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.lit(0).cast("long").alias("th"), text_of("text").alias("text"))
+    return _leaks(rows, benchmark, item_col, item_text_col).drop("th")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that hold no segment of an item. All columns; a row is known by its doc_id and text, so other
+    """The rows of docs that hold no segment of an item. All columns; a row is known by its doc_id and its text's hash, so other
     rows of that doc_id, or of none, are judged by their own texts."""
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = F.col(f"c{column(docs, id_col)}").cast("long"), text_of(f"c{column(docs, text_col)}")
-    rows = plain.select(key.alias("doc_id"), F.sha2(text, 256).alias("sha"), text.alias("text"))
-    lost = written(_leaks(rows, benchmark, "item_id", "text").select(F.col("doc_id").alias("d"), F.col("sha").alias("s")).distinct(), "leaks")
-    out = plain.join(lost, (F.sha2(text, 256) == F.col("s")) & key.eqNullSafe(F.col("d")), "left_anti")
+    rows = plain.select(key.alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    lost = written(_leaks(rows, benchmark, "item_id", "text").select(F.col("doc_id").alias("d"), F.col("th").alias("h")).distinct(), "leaks")
+    out = plain.join(lost, (F.xxhash64(text) == F.col("h")) & key.eqNullSafe(F.col("d")), "left_anti")
     return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
