@@ -81,8 +81,8 @@ def strip_tags(c: Column) -> Column:
 
 
 def strip_html(c: Column) -> Column:
-    """Page text: tags and named entities become spaces."""
-    bare = F.regexp_replace(F.regexp_replace(c, r"<[^>]+>", " "), r"(?i)&[a-z]+;", " ")
+    """Page text: tags and named entities in lower case become spaces."""
+    bare = F.regexp_replace(F.regexp_replace(c, r"<[^>]+>", " "), r"&[a-z]+;", " ")
     return trim_ws(F.regexp_replace(bare, f"{WS}+", " "))
 
 

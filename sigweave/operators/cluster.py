@@ -40,7 +40,7 @@ def links(rows: DataFrame) -> DataFrame:
     pb = b.join(prefix.withColumnRenamed("seq", "seq_b"), "seq_b").withColumn("bucket", near("b"))
     sizes = F.least(F.size("tokens_a"), F.size("tokens_b")) >= F.lit(SIMILAR).cast("double") * F.greatest(F.size("tokens_a"), F.size("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    alike = both / (F.size("tokens_a") + F.size("tokens_b") - both) >= SIMILAR
+    alike = F.try_divide(both, F.size("tokens_a") + F.size("tokens_b") - both) >= SIMILAR
     other = ~F.coalesce(F.col("fp_a") == F.col("fp_b"), F.lit(False))
     met = pa.join(pb, ["token", "bucket"]).where((F.col("seq_a") < F.col("seq_b")) & (apart <= NEAR_H * _US) & sizes & other & alike)
     return by_name.union(met.select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b")).distinct())

@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_RUN = f"sigweave/{uuid.uuid4().hex}"
+_own: str | None = None
+
+
+def _folder(spark: SparkSession) -> str:
+    """That of spark.checkpoint.dir; a folder of this machine serves only where it is unset and the session is local."""
+    global _own
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if _own is None:
+        _own = tempfile.mkdtemp(prefix="sigweave-")
+        atexit.register(shutil.rmtree, _own, ignore_errors=True)
+    return _own
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """df as a written table: it cuts lineage and survives the loss of executors."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sigweave-")
-    path = f"{base.rstrip('/')}/sigweave/{tag}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{_RUN}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -56,3 +56,35 @@ def pushes(rows: DataFrame, n: int = 2) -> DataFrame:
     out = select.candidates(rows, n).withColumn("frame", render.frame_of(F.col("title"), F.col("summary"), F.col("category")))
     return out.withColumn("filename", F.concat(F.col("day"), F.lit("-子推送-"), text.short_hash(text.first_filled(F.col("externalId"), F.col("title"))), F.lit(".md")))
 
+
+
+def push_prompt(rows: DataFrame) -> DataFrame:
+    """rows of pushes() with text: what the writer of a push is given. Instructions are the caller's; `frame` names the
+    frame that they ask for."""
+    parts = [F.lit("新闻标题："), F.col("title"), F.lit("\n类别："), F.col("category"), F.lit("\n来源："), F.col("source_name"), F.lit("\n摘要："), F.col("summary")]
+    return rows.withColumn("text", F.concat(*[F.coalesce(p, F.lit("")) for p in parts]))
+
+
+def week(signals: DataFrame, as_of: Column, n: int = 10) -> DataFrame:
+    """A week's signals (as of sources.snapshots.week) as the n best representatives of its events, with index from 1."""
+    best = select.representatives(score.scored(signals, as_of), "score", n)
+    order = Window.orderBy(F.col("score").desc(), "cluster_id")  # n rows
+    return best.withColumn("index", F.row_number().over(order)).withColumnRenamed("sourceName", "source_name")
+
+
+def week_prompt(rows: DataFrame, monday: Column) -> DataFrame:
+    """monday, text: what the writer of a week's document is given. rows: as week() makes them."""
+    label = dates.date_label(F.col("ts"), F.col("rawMeta.dateInferred"))
+    line = render.prompt_line(F.col("index"), F.col("category"), F.col("title"), F.col("source_name"), label, F.col("summary"))
+    told = render.joined(rows.withColumn("monday", monday.cast("date")), "monday", ["index"], line, "\n\n")
+    count = rows.agg(F.count("*").alias("n"))  # one row
+    to = F.date_add("monday", 6).cast("string")
+    head = F.concat(F.lit("上周（"), F.col("monday").cast("string"), F.lit(" 至 "), to, F.lit("）选出了 "), F.col("n").cast("string"), F.lit(" 条代表性热点，请据此生成周报：\n\n"))
+    return told.join(F.broadcast(count)).select("monday", F.concat(head, "text").alias("text"))
+
+
+def week_document(rows: DataFrame, response: Column, monday: Column) -> DataFrame:
+    """monday, markdown of the writer's response (JSON text); none if it does not have the form asked for."""
+    monday = monday.cast("date")
+    said = rows.limit(1).select(monday.alias("monday"), render.checked_weekly(response).alias("r"))
+    return render.weekly(said, rows.withColumn("monday", monday))

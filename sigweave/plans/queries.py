@@ -32,12 +32,12 @@ def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-STRIP = "trim(regexp_replace(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), '&[a-zA-Z]+;', ' ', 'g'), '\\s+', ' ', 'g'))"
+STRIP = "trim(regexp_replace(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), '&[a-z]+;', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
 @query(f"select page_id, {STRIP.format(chr(34) + 'h' + chr(34))} as heading from (select page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) as h from pages)")
 def page_heading(spark, sf):
-    return t(spark, sf, "pages").select("page_id", text.strip_html(F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)).alias("heading"))
+    return t(spark, sf, "pages").select("page_id", page_source.heading(F.col("html"))["title"].alias("heading"))
 
 
 @query(f"select page_id, {STRIP.format('html')} as body from pages")
@@ -102,11 +102,11 @@ def url_brand_label(spark, sf):
     return t(spark, sf, "pages").select("page_id", urls.core_label(urls.host(F.col("url"))).alias("label"))
 
 
-TOKENS = "list_distinct(list_filter(string_split(regexp_replace(lower(substr(string_split(text, chr(10))[1], 1, 200)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: length(x) > 1 and not (x in ('a','an','and','for','in','of','on','the','to','with','new','news'))))"
+TOKENS = "list_distinct(list_filter(string_split(regexp_replace(lower(string_split(text, chr(10))[1]), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: length(x) > 1 and not (x in ('a','an','and','for','in','of','on','the','to','with','new','news'))))"
 
 
 def _titles(spark, sf):
-    title = F.regexp_replace(F.lower(F.substring(F.split("text", "\n")[0], 1, 200)), "[^a-z0-9]+", " ")
+    title = F.regexp_replace(F.lower(F.split("text", "\n")[0]), "[^a-z0-9]+", " ")
     return t(spark, sf, "documents").select("doc_id", "source", title.alias("title"))
 
 
@@ -128,7 +128,7 @@ def title_jaccard_next(spark, sf):
 def _signals(spark, sf):
     """Documents as signals: first line as title, an hour apart."""
     d = t(spark, sf, "documents")
-    title = F.substring(F.split("text", "\n")[0], 1, 200)
+    title = F.split("text", "\n")[0]
     ts = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") * 3600)
     return d.select(F.col("doc_id").alias("seq"), F.col("source").alias("source_slug"), F.col("lang").alias("category"), title.alias("title"), ts.alias("ts")).withColumn("fp", F.lit(None).cast("string"))
 
@@ -206,10 +206,10 @@ def take_per_source(spark, sf):
     return select.take(t(spark, sf, "events"), "event_type", 30, "event_id").select("event_id", "event_type")
 
 
-@query("select o_orderkey, o_totalprice from orders where o_totalprice >= 60 and o_orderpriority >= '3' order by o_totalprice desc, o_orderkey limit 2")
+@query("select o_orderkey, o_totalprice from orders where o_orderkey % 101 >= 60 and o_custkey % 101 >= 60 and length(o_orderpriority) * 8 >= 60 order by o_orderkey % 101 + o_custkey % 101 desc, o_orderkey limit 2")
 def candidates_threshold_topk(spark, sf):
-    o = t(spark, sf, "orders").where((F.col("o_totalprice") >= 60) & (F.col("o_orderpriority") >= "3"))
-    return o.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(2).select("o_orderkey", "o_totalprice")
+    o = t(spark, sf, "orders").select("*", F.col("o_orderkey").alias("seq"), (F.col("o_orderkey") % 101).alias("confidence"), (F.col("o_custkey") % 101).alias("heat"), F.repeat("o_orderpriority", F.lit(8)).alias("summary"))
+    return select.candidates(o).select("o_orderkey", "o_totalprice")
 
 
 @query("select event_type, user_id, event_id from (select *, row_number() over (partition by event_type, user_id order by ts, event_id) as r from events) where r = 1")
@@ -223,24 +223,32 @@ def title_repeat_drop(spark, sf):
     return dedup.drop_repeated_titles(d, "source", "title").select("doc_id")
 
 
+#: Events as rows of runs: before CUT the earlier ones. A key is seen again or not.
+CUT = "2024-01-16 00:00:00"
+KEYED = f"select event_id, event_type as source_slug, user_id || '/' || event_id % 13 as dedup_key, ts, ts >= timestamp '{CUT}' as late from events"
+
+
 def _state(spark, sf):
-    e = t(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", F.col("event_type").alias("source_slug"), F.col("user_id").cast("string").alias("dedup_key"), "ts")
-    cut = e.agg(F.percentile("event_id", 0.5).alias("cut"))
-    return e.crossJoin(F.broadcast(cut))  # one row
+    e = t(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    key = F.concat(F.col("user_id").cast("string"), F.lit("/"), (F.col("event_id") % 13).cast("string"))
+    return e.select("event_id", F.col("event_type").alias("source_slug"), key.alias("dedup_key"), "ts", (F.col("ts") >= F.lit(CUT).cast("timestamp")).alias("late"))
 
 
-@query("with c as (select median(event_id) as cut from events), s as (select distinct event_type, user_id from events, c where event_id < cut) select event_type as source_slug, cast(user_id as varchar) as dedup_key, min(event_id) as event_id from events, c where event_id >= cut and not exists (select 1 from s where s.event_type = events.event_type and s.user_id = events.user_id) group by all")
+@query(f"with e as ({KEYED}) select source_slug, dedup_key, min(event_id) as event_id from e where late and not exists (select 1 from e o where not o.late and o.source_slug = e.source_slug and o.dedup_key = e.dedup_key) group by all")
 def new_keys_anti_join(spark, sf):
     e = _state(spark, sf)
-    old = e.where("event_id < cut").groupBy("source_slug", "dedup_key").agg(F.min("ts").alias("first_seen"))
-    return dedup.new_rows(e.where("event_id >= cut"), old, ["event_id"]).select("source_slug", "dedup_key", "event_id")
+    old = e.where("not late").groupBy("source_slug", "dedup_key").agg(F.min("ts").alias("first_seen"))
+    return dedup.new_rows(e.where("late"), old, ["event_id"]).select("source_slug", "dedup_key", "event_id")
 
 
-@query("with s as (select event_type as source_slug, cast(user_id as varchar) as dedup_key, min(ts) as first_seen from events group by all) select source_slug, dedup_key, epoch_us(first_seen) as first_seen_us from s where first_seen >= timestamp '2024-01-31' - interval 30 days")
+@query(f"""with e as ({KEYED}), s as (select source_slug, dedup_key, min(ts) as first_seen from e where not late group by all),
+    n as (select source_slug, dedup_key, timestamp '2024-02-07' as first_seen from (select distinct source_slug, dedup_key from e where late except select source_slug, dedup_key from s))
+    select source_slug, dedup_key, epoch_us(first_seen) as first_seen_us from (from s union all from n) where first_seen >= timestamp '2024-02-07' - interval 30 days""")
 def state_prune(spark, sf):
-    e = _state(spark, sf)
-    state = e.groupBy("source_slug", "dedup_key").agg(F.min("ts").alias("first_seen"))
-    out = dedup.next_state(state, state.limit(0), F.lit(AS_OF).cast("timestamp"))
+    """Keys of the earlier runs, some of them past their time by the last one, and the last one's."""
+    e, as_of = _state(spark, sf), F.lit("2024-02-07 00:00:00").cast("timestamp")
+    state = e.where("not late").groupBy("source_slug", "dedup_key").agg(F.min("ts").alias("first_seen"))
+    out = dedup.next_state(state, dedup.new_rows(e.where("late"), state, ["event_id"]), as_of)
     return out.select("source_slug", "dedup_key", F.unix_micros("first_seen").alias("first_seen_us"))
 
 
@@ -267,11 +275,12 @@ def overview_semi_remaining_anti(spark, sf):
     return top.select(F.col("index").alias("c_custkey"), F.lit(True).alias("is_top")).union(rest.select("index", F.lit(False)))
 
 
-@query("select conv_id, turn, q.text as question, a.text as answer from conversations q left join (select conv_id, turn - 1 as turn, text from conversations) a using (conv_id, turn)")
+@query("with items as (select o_custkey as index, max(o_orderkey) as k from orders where o_orderkey % 3 > 0 group by 1) select c_custkey, c_name, o_totalprice as body from customer join items on c_custkey = index join orders on o_orderkey = k")
 def positional_join(spark, sf):
-    c = t(spark, sf, "conversations")
-    a = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    return c.select("conv_id", "turn", F.col("text").alias("question")).join(a, ["conv_id", "turn"], "left")
+    """Orders as written items, customers as the rows that they are about: the last of an index wins."""
+    items = t(spark, sf, "orders").where("o_orderkey % 3 > 0").select(F.col("o_custkey").alias("index"), F.col("o_orderkey").alias("pos"), F.col("o_totalprice").alias("body"))
+    rows = t(spark, sf, "customer").select(F.col("c_custkey").alias("index"), "c_name")
+    return select.by_index(items, rows).select(F.col("index").alias("c_custkey"), "c_name", "body")
 
 
 @query("select l_partkey, count(distinct l_suppkey) as sources from lineitem group by l_partkey")
@@ -279,12 +288,11 @@ def independent_source_count(spark, sf):
     return t(spark, sf, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("sources"))
 
 
-@query("with c as (select median(event_id) as cut from events), n as (select event_type, count(*) as n from (select distinct event_type, user_id from events, c where event_id >= cut except select distinct event_type, user_id from events, c where event_id < cut) group by 1) select event_type as source_slug, count(*) as fetched, coalesce(max(n.n), 0) as new from events left join n using (event_type), c where event_id >= cut group by 1")
+@query(f"with e as ({KEYED}), n as (select source_slug, count(*) as n from (select distinct source_slug, dedup_key from e where late except select source_slug, dedup_key from e where not late) group by 1) select source_slug, count(*) as fetched, coalesce(max(n.n), 0) as new from e left join n using (source_slug) where late group by 1")
 def run_report(spark, sf):
     e = _state(spark, sf)
-    now = e.where("event_id >= cut")
-    fresh = dedup.new_rows(now, e.where("event_id < cut").select("source_slug", "dedup_key").distinct(), ["event_id"])
-    return dedup.run_report(now, fresh).drop("error")
+    fresh = dedup.new_rows(e.where("late"), e.where("not late").select("source_slug", "dedup_key").distinct(), ["event_id"])
+    return dedup.run_report(e.where("late"), fresh).drop("error")
 
 
 @query("select o_orderkey, case when o_orderpriority = '1-URGENT' then '未知' else strftime(o_orderdate, '%Y-%m-%d') end as label, month(o_orderdate) || '月' || day(o_orderdate) || '日 · 周' || substr('日一二三四五六', dayofweek(o_orderdate) + 1, 1) as header from orders")
@@ -403,3 +411,6 @@ def markdown_meta(spark, sf):
 def charset_decode(spark, sf):
     rows = t(spark, sf, "documents").where("text is not null")
     return rows.select("doc_id", F.sha2(text.decode_body(F.encode("text", "UTF-8"), F.lit("text/html; charset=utf-8")), 256).alias("sha"))
+
+
+from . import made  # noqa: E402, F401  registers its queries

@@ -51,3 +51,50 @@ def last_rounds(rows: DataFrame, order: list[str], n: int = 2) -> DataFrame:
     last = rows.orderBy(*[F.col(c).desc() for c in order]).limit(n)
     line = F.concat(F.col("month"), F.lit(" #"), F.col("bidding_no"), F.lit(": S$"), F.format_number("premium", 0))
     return last.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, line.alias("line")))), lambda x: x["line"]), "；").alias("summary"))
+
+
+# The page of the bidding dataset, and the class whose rounds are told.
+DATASET, CLASS, ROUNDS = "https://data.gov.sg/datasets/d_69b3380ad7e51aff3a7dcc84eba52b8a/view", "Category D", 2
+
+
+def bid_rounds(bodies: DataFrame, vehicle_class: str = CLASS) -> DataFrame:
+    """url, pos, month, bidding_no and the numbers of each round of the class. bodies: url, body, a CSV text each whose
+    first line names the columns, in any order."""
+    lines = bodies.select("url", F.split(text.trim_ws(F.col("body")), r"\r?\n").alias("lines"))
+    names = F.split(F.col("lines")[0], ",")
+    rows = lines.select("url", names.alias("names"), F.posexplode(F.slice("lines", F.lit(2), F.size("lines"))).alias("pos", "line")).withColumn("cells", F.split("line", ","))
+    cell = lambda n: F.try_element_at("cells", F.nullif(F.array_position("names", n), F.lit(0)).cast("int"))
+    numbers = [cell(n).try_cast("double").alias(n) for n in ("quota", "bids_success", "bids_received", "premium")]
+    return rows.where(cell("vehicle_class") == vehicle_class).select("url", "pos", F.coalesce(cell("month"), F.lit("")).alias("month"), F.coalesce(cell("bidding_no"), F.lit("")).alias("bidding_no"), *numbers)
+
+
+def bid_signals(bodies: DataFrame, as_of: Column, rounds: int = ROUNDS) -> DataFrame:
+    """One row a body: its last rounds, told in order."""
+    w = Window.partitionBy("url").orderBy(F.col("pos").desc())
+    last = bid_rounds(bodies).withColumn("back", F.row_number().over(w)).where(F.col("back") <= rounds)
+    whole = lambda c: F.col(c).cast("decimal(20,0)").cast("string")
+    price = F.concat(F.lit("S$"), F.format_number("premium", 0))
+    part = F.concat("month", F.lit(" 第"), "bidding_no", F.lit("轮：中标价 "), price, F.lit("（配额 "), whole("quota"), F.lit("，收到投标 "), whole("bids_received"), F.lit(" 份，中标 "), whole("bids_success"), F.lit(" 份）"))
+    title = F.concat(F.lit("新加坡 COE Category D（摩托车）最新中标价："), price, F.lit("（"), "month", F.lit(" 第"), "bidding_no", F.lit("轮）"))
+    told = last.groupBy("url").agg(F.max_by(F.struct("month", "bidding_no", title.alias("title")), "pos").alias("last"), F.sort_array(F.collect_list(F.struct("pos", part.alias("part")))).alias("parts"))
+    key = F.concat(F.lit("lta-coe-"), "last.month", F.lit("-"), "last.bidding_no")
+    when = dates.month_start(F.col("last.month"), as_of)
+    return told.select("url", F.lit(0).alias("pos"), key.alias("external_id"), F.lit(DATASET).alias("link"), "last.title", F.array_join(F.transform("parts", lambda p: p["part"]), "；").alias("summary"), when.alias("published"), F.lit(False).alias("inferred"))
+
+
+def discovered(homepages: DataFrame) -> DataFrame:
+    """url, feed_url: the first feed that a page (url, html) names as its alternate; pages that name none are left out."""
+    tags = F.filter(F.regexp_extract_all("html", F.lit(r"(?i)<link\b[^>]*>"), F.lit(0)), lambda x: x.rlike("""(?i)rel=["']alternate["']""") & x.rlike("""(?i)type=["']application/(?:rss|atom)\\+xml["']"""))
+    hrefs = homepages.select("url", F.posexplode(tags).alias("pos", "tag")).withColumn("feed_url", urls.resolve(F.regexp_extract("tag", """(?i)href=["']([^"']+)["']""", 1), F.col("url")))
+    return hrefs.where("feed_url is not null").groupBy("url").agg(F.min_by("feed_url", "pos").alias("feed_url"))
+
+
+def with_fallback(sources: DataFrame, fetched: DataFrame, homepages: DataFrame) -> DataFrame:
+    """source_slug, url, body for feeds.signals: the body of each source's own feed, or where that could not be fetched,
+    of the feed that its homepage names. sources: source_slug, url, homepage_url; fetched: url, body (null where the fetch
+    failed) of all feeds; homepages: url, html."""
+    got = fetched.where("body is not null").groupBy("url").agg(F.first("body").alias("body"))
+    own = sources.join(got, "url", "left")
+    lost = own.where("body is null and homepage_url <> url").select("source_slug", F.col("url").alias("failed"), F.col("homepage_url").alias("url"))
+    found = lost.join(discovered(homepages), "url").where("feed_url <> failed").select("source_slug", F.col("feed_url").alias("url")).join(got, "url")
+    return own.where("body is not null").select("source_slug", "url", "body").unionByName(found.select("source_slug", "url", "body"))

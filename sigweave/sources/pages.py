@@ -34,27 +34,32 @@ def once(c: Column, f) -> Column:
 
 
 def heading(c: Column) -> Column:
-    """The first h1, else h2 to h6, else an element whose class says headline or title."""
-    plain = lambda x: F.nullif(text.strip_html(x), F.lit(""))
-    levels = [plain(group(c, rf"(?is)<h{i}[^>]*>(.*?)</h{i}>")) for i in range(1, 7)]
-    named = plain(group(c, r'(?is)<(\w+)[^>]*class="[^"]*(?:headline|title)[^"]*"[^>]*>(.{1,300}?)</\1>', 2))
-    return text.decode_entities(F.coalesce(*levels, named))  # leaves no text empty
+    """title, href: of the first h1, else h2 to h6; else of an element whose class says headline or title, with its own
+    href; else the text before the first tag."""
+    levels = [group(c, rf"(?is)<h{i}[^>]*>(.*?)</h{i}>") for i in range(1, 7)]
+    named = r'(?is)<([a-z]+)([^>]*class="[^"]*(?:headline|title)[^"]*"[^>]*)>(.{0,300}?)</\1>'
+    level, inner, leading = F.coalesce(*levels), group(c, named, 3), group(c, rf"^{text.WS}*([^<]+)")
+    title = text.strip_html(F.coalesce(level, inner, leading))
+    return F.struct(title.alias("title"), F.when(level.isNull() & inner.isNotNull(), group(group(c, named, 2), r'(?i)href="([^"]+)"')).alias("href"))
+
+
+# Names of the properties that hold a date, and of the months.
+DATED = "datePublished|article:published_time|publishdate"
+MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 
 
 def published(c: Column) -> Column:
-    """The text of a date: time element, meta tags, written dates."""
-    months = "January|February|March|April|May|June|July|August|September|October|November|December"
-    patterns = [
-        r'(?i)<time[^>]+datetime="([^"]+)"', r'(?i)<meta[^>]+(?:property|name)="(?:article:published_time|date|pubdate)"[^>]+content="([^"]+)"',
-        r'(?i)<meta[^>]+content="([^"]+)"[^>]+(?:property|name)="(?:article:published_time|date|pubdate)"', rf"(?i)((?:{months})\s+\d{{1,2}},\s+\d{{4}})",
-        rf"(?i)(\d{{1,2}}\s+(?:{months})\s+\d{{4}})", r"((?:19|20)\d{2}-\d{2}-\d{2})", r"((?:19|20)\d{2}年\d{1,2}月\d{1,2}日)",
-    ]
-    return F.coalesce(*[group(c, p) for p in patterns])
+    """The text of a date: time element, properties, then dates written in the text."""
+    name, value = f"""(?:itemprop|property|name)=["'](?:{DATED})["']""", """(?:content|datetime)=["']([^"']+)["']"""
+    marked = [group(c, p) for p in (r"""(?i)<time[^>]*datetime=["']([^"']+)["'][^>]*>""", rf"(?i)<(?:meta|time)[^>]+{name}[^>]+{value}", rf"(?i)<(?:meta|time)[^>]+{value}[^>]+{name}")]
+    written = [rf"(?i)\b((?:{MONTHS})\s+\d{{1,2}},\s+\d{{4}})\b", rf"(?i)\b(\d{{1,2}}\s+(?:{MONTHS})\s+\d{{4}})\b", r"\b((?:19|20)\d{2}-\d{2}-\d{2})\b", r"\b((?:19|20)\d{2}年\d{1,2}月\d{1,2}日)"]
+    return F.coalesce(*marked, once(text_content(c), lambda x: F.coalesce(*[group(x, p) for p in written])))
 
 
 def text_content(c: Column) -> Column:
-    for p in (r"(?is)<script.*?</script>", r"(?is)<style.*?</style>", r"<[^>]*$", r"<[^>]+>"):
-        c = F.regexp_replace(c, p, " ")
+    """The text that shows: no scripts, no styles, no tag cut off at the end."""
+    for p, to in ((r"(?is)<script.*?</script>", ""), (r"(?is)<style.*?</style>", ""), (r"<[^>]*$", ""), (r"<[^>]+>", " ")):
+        c = F.regexp_replace(c, p, to)
     return text.trim_ws(F.regexp_replace(c, f"{text.WS}+", " "))
 
 
@@ -67,7 +72,7 @@ def json_ld(pages: DataFrame) -> DataFrame:
     get = lambda *names: F.coalesce(*[F.try_variant_get("node", f'$["{n}"]', "string") for n in names])
     main = F.coalesce(F.try_variant_get("node", '$.mainEntityOfPage["@id"]', "string"), F.try_variant_get("node", "$.mainEntityOfPage.url", "string"), get("mainEntityOfPage"))
     out = nodes.select(
-        *pages.columns, F.lit(0).alias("tier"), (F.col("script") * 100_000 + F.col("nth")).cast("long").alias("pos"), get("@type").alias("type"), get("headline", "name").alias("raw_title"),
+        *pages.columns, F.lit(0).alias("tier"), (F.col("script").cast("long") * F.lit(1 << 32) + F.col("nth")).alias("pos"), get("@type").alias("type"), get("headline", "name").alias("raw_title"),
         F.coalesce(get("url"), main).alias("link"), get("datePublished", "dateCreated").alias("date"), get("identifier", "@id").alias("external_id"), get("description", "abstract", "headline", "name").alias("raw_summary"),
     ).where(F.col("type").isin(JSON_TYPES) & (F.coalesce("raw_title", F.lit("")) != "") & (F.coalesce("link", F.lit("")) != ""))
     clean = lambda c: once(F.col(c), lambda x: text.strip_html(text.decode_entities(x)))
@@ -75,12 +80,14 @@ def json_ld(pages: DataFrame) -> DataFrame:
 
 
 def card(frame: DataFrame, body: str, tier: int) -> DataFrame:
-    """Card bodies (with href or null) to titled rows."""
-    link = F.coalesce(F.col("href"), group(F.col(body), r'(?is)<h[1-6][^>]*>.*?<a[^>]+href="([^"]+)"'), group(F.col(body), r'(?i)<a[^>]+href="([^"]+)"'))
-    title = once(F.col(body), lambda b: F.coalesce(heading(b), F.nullif(F.substring(text.decode_entities(text_content(b)), 1, 120), F.lit(""))))
-    out = frame.withColumn("title", title).withColumn("link", link).withColumn("date", published(F.col(body)))
-    out = out.withColumn("summary", F.substring(once(F.col(body), lambda b: text.strip_html(text.decode_entities(b))), 1, 500)).withColumn("tier", F.lit(tier))
-    return out.where((F.length("title") >= TITLE) & ~F.trim("title").rlike(r"(?i)^latest\s+.+\s+news$") & F.col("link").isNotNull()).drop(body, "href")
+    """Card bodies (with href or null) to titled rows. The link is the card's own, else that of the element that gave
+    the title, else the first."""
+    found = frame.withColumn("head", once(F.col(body), heading)).withColumn("said", once(F.col(body), text_content))
+    link = F.coalesce(F.col("href"), F.col("head.href"), group(F.col(body), r'(?i)<a[^>]+href="([^"]+)"[^>]*>'))
+    clean = lambda c: once(c, lambda x: text.strip_html(text.decode_entities(x)))
+    out = found.withColumn("link", link).withColumn("date", published(F.col(body))).withColumn("raw", F.col("head.title"))
+    out = out.withColumn("summary", clean(F.substring("said", 1, 500))).withColumn("tier", F.lit(tier)).withColumn("title", clean(F.col("raw")))
+    return out.where((F.length("raw") >= TITLE) & ~F.trim("raw").rlike(r"(?i)^latest\s+.+\s+news$") & F.col("link").isNotNull()).drop(body, "href", "head", "said", "raw")
 
 
 def articles(pages: DataFrame) -> DataFrame:
@@ -102,14 +109,12 @@ def cards(pages: DataFrame) -> DataFrame:
                 for n, p in enumerate(patterns):
                     for k, m in enumerate(p.finditer(html or "")):
                         found = href.search(m[1]) if p.groups else None
-                        out.append((url, n, n * 100_000 + k, found[1] if found else None, html[m.end() : m.end() + WINDOW]))
+                        out.append((url, n, n << 40 | k, found[1] if found else None, html[m.end() : m.end() + WINDOW]))
             yield pd.DataFrame(out, columns=["url", "pattern", "pos", "href", "body"])
 
     rows = card(pages.select("url", "html").mapInPandas(windows, "url string, pattern int, pos long, href string, body string"), "body", 2)
-    found = rows.groupBy("url", "pattern").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("url").orderBy("pattern").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    open_ = found.withColumn("before", before).where(F.col("before") < ENOUGH).select("url", "pattern")
-    return rows.join(open_, ["url", "pattern"], "left_semi").drop("pattern")
+    earlier = F.count("*").over(Window.partitionBy("url").orderBy("pattern").rangeBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("earlier", earlier).where(F.col("earlier") < ENOUGH).drop("pattern", "earlier")
 
 
 def titled_links(pages: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from . import feeds, pages
 
-ADAPTERS: dict[str, Callable[[DataFrame, Column], DataFrame]] = {"web-scraper": pages.signals, "rss": feeds.signals}
+ADAPTERS: dict[str, Callable[[DataFrame, Column], DataFrame]] = {"web-scraper": pages.signals, "rss": feeds.signals, "lta-coe": feeds.bid_signals}
 
 
 def adapter(kind: str) -> Callable[[DataFrame, Column], DataFrame]:
