@@ -55,9 +55,15 @@ def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audits a replica in which the body of every page with page_id % 257 = 3 has its first sign changed."""
-    damaged = F.when(F.col("page_id") % 257 == 3, F.concat(F.lit("#"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
-    return warc_fixity.audit(warc_fixity.layout(table(spark, sf_dir, "pages"), damaged))
+    """Audits all pages, in archives of 4,096 ids, against a replica with a layout of its own and damage on purpose: of
+    every page with page_id % 257 = 3 the first sign is changed, with % 269 = 17 half is lost, with % 263 = 11 there is
+    no record, and with % 271 = 29 there is one more."""
+    pages, number = table(spark, sf_dir, "pages").select("page_id", "url", "html"), F.floor(F.col("page_id") / 4096)
+    html = F.when(F.col("page_id") % 257 == 3, F.concat(F.lit("#"), F.substring("html", 2, 2**31 - 1)))
+    html = html.when(F.col("page_id") % 269 == 17, F.expr("substring(html, 1, cast(length(html) / 2 as int))")).otherwise(F.col("html"))
+    more = pages.where("page_id % 271 = 29").withColumn("url", F.concat("url", F.lit("#extra")))
+    replica = pages.where("page_id is null or page_id % 263 <> 11").withColumn("html", html).unionByName(more)
+    return warc_fixity.audit(warc_fixity.layout(pages, archive=number), warc_fixity.layout(replica, archive=number))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -98,20 +104,23 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from t
 """
 
 ORACLE_WARC = r"""
-with html as (
-  select *, row_number() over (order by page_id) - 1 as place, case when page_id % 257 = 3 then '#' || substr(html, 2) else html end as other from pages
+with theirs as (
+  select page_id, url, case when page_id % 257 = 3 then '#' || substr(html, 2) when page_id % 269 = 17 then substr(html, 1, length(html) // 2) else html end as html
+  from pages where page_id % 263 <> 11
+  union all select page_id, url || '#extra', html from pages where page_id % 271 = 29
 ), recs as (
-  select *, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Length: ' as head,
-         chr(13) || chr(10) || chr(13) || chr(10) as gap
-  from html
-), made as (
-  select *, head || strlen(html) || gap || html || gap as mine, head || strlen(other) || gap || other || gap as theirs from recs
+  select *, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
+      || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) as said
+  from (select 1 as side, page_id, url, html from pages union all select 2, page_id, url, html from theirs)
+), laid as (
+  select side, page_id, url, cast(floor(page_id / 4096) as bigint) as archive, strlen(said) as length, sha256(said) as sha256,
+    cast(row_number() over w - 1 as integer) as seq, cast(coalesce(sum(strlen(said)) over (w rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset"
+  from recs window w as (partition by side, floor(page_id / 4096) order by page_id, url)
 )
-select cast(floor(place / 4096) as bigint) as archive, cast(place % 4096 as integer) as seq, page_id,
-       cast(coalesce(sum(strlen(mine)) over (partition by floor(place / 4096) order by place rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset",
-       strlen(mine) as length, cast(1 as bigint) as copies, sha256(mine) as sha256, sha256(theirs) as replica_sha256,
-       case when mine = theirs then 'ok' else 'corrupt' end as status
-from made
+select coalesce(a.archive, b.archive) as archive, coalesce(a.page_id, b.page_id) as page_id, coalesce(a.url, b.url) as url, a.seq, a."offset", a.length, case when a.page_id is not null then cast(1 as bigint) end as copies, a.sha256,
+  b.seq as replica_seq, b."offset" as replica_offset, b.length as replica_length, b.sha256 as replica_sha256,
+  case when b.page_id is null then 'missing' when a.page_id is null then 'extra' when a.sha256 <> b.sha256 then 'corrupt' when a.seq <> b.seq or a."offset" <> b."offset" then 'moved' else 'ok' end as status
+from (from laid where side = 1) a full join (from laid where side = 2) b on a.page_id = b.page_id and a.url = b.url
 """
 
 ORACLE_CHATS = """

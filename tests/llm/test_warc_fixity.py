@@ -18,7 +18,7 @@ def pages(spark, n):
 
 def warc(i, url, html):
     body = (html or "").encode()
-    return f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{'' if i is None else i}>\r\nWARC-Target-URI: {url or ''}\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+    return f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{'' if i is None else i}>\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Target-URI: {(url or '').replace(chr(13), '%0D').replace(chr(10), '%0A')}\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
 
 
 @pytest.mark.parametrize(("fanout", "n"), [(16, 300), (4, 300), (2, 40)])
@@ -54,32 +54,62 @@ def test_empty(spark):
     assert warc_fixity.audit(warc_fixity.layout(spark.createDataFrame([], SCHEMA))).count() == 0
 
 
-def test_replica_of_its_own_layout(spark, monkeypatch):
+def laid(rows, archive):
+    """archive to the list of (id, url, sha, seq, offset) of its records in order."""
+    out = {}
+    for n, (i, u, h) in enumerate(sorted(rows)):
+        part = out.setdefault(archive(n, i), [])
+        at = part[-1][4] + part[-1][5] if part else 0
+        part.append((i, u, hashlib.sha256(warc(i, u, h)).hexdigest(), len(part), at, len(warc(i, u, h))))
+    return out
+
+
+def brute(rows, other, archive):
+    """Of records with one id each."""
+    mine, theirs = laid(rows, archive), laid(other, archive)
+    out = {}
+    for a in {*mine, *theirs}:
+        x, y = ({r[:2]: r for r in side.get(a, [])} for side in (mine, theirs))
+        for k in {*x, *y}:
+            m, t = x.get(k), y.get(k)
+            out[a, *k] = "missing" if t is None else "extra" if m is None else "corrupt" if m[2] != t[2] else "ok" if m == t else "moved"
+    return out
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_replica_of_its_own_layout(spark, monkeypatch, named):
     monkeypatch.setattr(warc_fixity, "FANOUT", 4)
     rows = [(i, f"http://h/{i}", f"body {i} " + "x" * (i % 7)) for i in range(150)]
     frame = lambda r: spark.createDataFrame(r, "page_id long, url string, html string").repartition(3)
-    places = lambda r: [(i, warc(i, u, h)) for i, u, h in r]
     cases = {
         "same": rows,
         "truncated": [(i, u, h[:3] if i == 140 else h) for i, u, h in rows],
         "changed": [(i, u, "#" + h[1:] if i == 70 else h) for i, u, h in rows],
-        "missing": [r for r in rows if r[0] != 145],
+        "missing": [r for r in rows if r[0] != 45],
+        "several": [(i, u, "#" + h[1:] if i == 49 else h) for i, u, h in rows if i not in (45, 46, 148)] + [(47, "u", "more")],
         "archives lost": rows[:60],
         "extra": [*rows, (150, "u", "more"), (151, "u", "more")],
-        "archives more": [*rows, *[(i, "u", "more") for i in range(150, 200)]],
         "none": [],
     }
-    mine = warc_fixity.layout(frame(rows))
+    archive = (lambda n, i: i // 50) if named else (lambda n, i: n // 64)
+    lay = lambda r: warc_fixity.layout(frame(r), archive=F.floor(F.col("page_id") / 50) if named else None)
+    mine = lay(rows)
     for name, other in cases.items():
-        want, ends = {}, [0, 0]
-        both = [places(rows), places(other)]
-        for n in range(max(map(len, both))):
-            if n % 64 == 0:
-                ends = [0, 0]
-            leaf = [(ends[k], b[n][1]) if n < len(b) else None for k, b in enumerate(both)]
-            ends = [e + len(x[1]) if x else e for e, x in zip(ends, leaf, strict=True)]
-            want[n // 64, n % 64] = "ok" if leaf[0] == leaf[1] else "missing" if leaf[1] is None else "extra" if leaf[0] is None else "corrupt"
-        theirs = warc_fixity.layout(frame(other))
-        got = {(r.archive, r.seq): r.status for r in warc_fixity.audit(mine, theirs).collect()}
-        assert got == want, name
+        got = warc_fixity.audit(mine, lay(other)).collect()
+        want = brute(rows, other, archive)
+        assert {(r.archive, r.page_id, r.url): r.status for r in got} == want and len(got) == len(want), name
         assert (set(want.values()) == {"ok"}) == (name == "same")
+        assert all((r.seq is None) == (r.status == "extra") and (r.replica_seq is None) == (r.status == "missing") for r in got)
+
+
+def test_large_archive_and_awkward_records(spark, monkeypatch):
+    """An archive of more records than a tree has leaves, records without id, several of one id, line ends in a url."""
+    monkeypatch.setattr(warc_fixity, "FANOUT", 2)
+    rows = [(i, "u", f"b{i}") for i in range(40)] + [(None, "u\r\nX: y", "z"), (None, None, None), (7, "u", "other"), (7, "u", "third"), (7, "u", "third")]
+    frame = lambda r: warc_fixity.layout(spark.createDataFrame(r, "page_id long, url string, html string").repartition(5), archive=F.lit(3))
+    same = warc_fixity.audit(frame(rows), frame(rows)).collect()
+    assert len(same) == 44 and {r.status for r in same} == {"ok"} and sum(r.copies for r in same) == 45
+    changed = [(7, "u", "thirD") if r == (7, "u", "third") else (None, None, "new") if r == (None, None, None) else r for r in rows]
+    got = [r for r in warc_fixity.audit(frame(rows), frame(changed)).collect() if r.status in ("corrupt", "missing", "extra")]
+    assert {(r.page_id, r.url) for r in got} == {(7, "u"), (None, None)} and len(got) <= 3
+    assert hashlib.sha256(warc(None, "u\r\nX: y", "z")).hexdigest() in {r.sha256 for r in same}
