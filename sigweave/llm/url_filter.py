@@ -6,15 +6,17 @@ vectorised binary search; where a digest is found, the stored string is compared
 
 A rule (host, path, verdict) fits its host and all subdomains if the url's path starts with the rule's; the
 longest fitting rule decides (by host and path together; then by host). Without a rule, a url is blocked if a
-label of its host is a blocked name, else allowed. Defined results: a null url, or one without `://`, has an
+label of its host is a blocked name, or its host or one above it is in the blocklist, else allowed. Defined results: a null url, or one without `://`, has an
 empty host and path, no rule, and is allowed; rows that repeat stay.
 """
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import os
 import re
+import shutil
 import tempfile
 from collections.abc import Iterator
 
@@ -32,6 +34,9 @@ RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 #: Host labels that are blocked without a rule.
 BLOCKED = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
+#: Different hosts that a blocklist may have: about 1 GB on the driver.
+MOST = 5_000_000
+
 _maps: dict[str, "DigestArray"] = {}
 
 
@@ -79,15 +84,22 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def judge_urls(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] | None = None, blocked: list[str] | None = None
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] | None = None, blocked: list[str] | None = None, blocklist: DataFrame | None = None, most: int = MOST
 ) -> DataFrame:
-    """page_id, host, path, rule, verdict of every row. rules and blocked are lists on the driver (a million
-    entries are about 100 MB there and on each executor's disk); they don't grow with the pages."""
+    """page_id, host, path, rule, verdict of every row. rules and blocked are lists on the driver; blocklist is a table of
+    hosts (its first column; nulls and empty ones go), of which `most` may be different: the driver holds them once, and
+    each executor's disk; a longer one raises an error. None of them grows with the pages."""
     rules, blocked = RULES if rules is None else rules, BLOCKED if blocked is None else blocked
     if bad := [r for r in rules if r[2] not in ("allow", "block")]:
         raise ValueError(f"verdicts must be allow or block: {bad}")
     keys = {f"rule {host}{path}": i for i, (host, path, _) in enumerate(rules)} | {f"name {b}": 0 for b in blocked}
+    if blocklist is not None:
+        hosts = blocklist.select(F.lower(blocklist.columns[0]).alias("host")).where("host <> ''").distinct()
+        if (n := hosts.limit(most + 1).count()) > most:
+            raise ValueError(f"the blocklist has {n} hosts or more; `most` allows {most}")
+        keys |= {f"host {r['host']}": 0 for r in hosts.toLocalIterator()}
     lengths = sorted({len(path) for _, path, _ in rules})
+    listed = blocklist is not None
     name = _share(pages.sparkSession, DigestArray.build(keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,6 +121,10 @@ def judge_urls(
                     row.append(i)
                     size.append(-1)
                     probes.append(f"name {suffix.split('.', 1)[0]}")
+                    if listed:
+                        row.append(i)
+                        size.append(-1)
+                        probes.append(f"host {suffix}")
                     at = host.find(".", at) + 1 or -1
             found = array.find(probes)
             best: dict[int, tuple[int, int]] = {}
@@ -138,7 +154,9 @@ def _share(spark: SparkSession, content: bytes) -> str:
     """Sends a file to all executors, those to come too; its name tells its content."""
     name = f"digests-{hashlib.sha256(content).hexdigest()[:24]}.bin"
     if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
-        path = os.path.join(tempfile.mkdtemp(prefix="sigweave-"), name)
+        folder = tempfile.mkdtemp(prefix="sigweave-")  # the driver's own: executors fetch the file from the driver
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = os.path.join(folder, name)
         with open(path, "wb") as out:
             out.write(content)
         spark.sparkContext.addFile(path)

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from sigweave.llm import url_filter
 
 URLS = [
@@ -42,3 +44,19 @@ def test_no_rules_and_no_rows(spark):
     frame = spark.createDataFrame([(None, "http://spam-farm.org/fr/")], "page_id long, url string")
     assert url_filter.judge_urls(frame, rules=[], blocked=[]).first().verdict == "allow"
     assert url_filter.judge_urls(frame.limit(0)).count() == 0
+
+
+def test_blocklist_from_a_table(spark):
+    hosts = spark.createDataFrame([("Bad.example.org", "x"), ("evil.com", "x"), ("evil.com", "y"), (None, "z"), ("", "z")], "host string, note string")
+    urls = ["http://a.bad.example.org/x", "http://bad.example.org/fr/", "http://example.org/", "https://EVIL.com", "https://notevil.com/", "http://com/", None]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(frame, blocklist=hosts).collect()}
+    assert [got[i] for i in range(7)] == ["block", "allow", "allow", "block", "allow", "allow", "allow"]
+    with pytest.raises(ValueError, match="blocklist"):
+        url_filter.judge_urls(frame, blocklist=hosts, most=1)
+
+
+def test_very_long_urls(spark):
+    urls = ["http://" + "a." * 3000 + "net/" + "p" * 200_000, "http://" + "x" * 100_000 + ".org/fr/" + "q" * 100_000, "http://example.com/de/" + "?" * 100_000]
+    got = sorted(url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect())
+    assert [tuple(r) for r in got] == [(i, *brute(u)) for i, u in enumerate(urls)]
