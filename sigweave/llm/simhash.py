@@ -114,6 +114,8 @@ def _forest(bits: int):
 def links(distinct: DataFrame, bits: int, bucket_max: int = BUCKET_MAX) -> DataFrame:
     """Distinct fingerprints (fp) to links u, v that connect what `bits` or fewer differing bits connect."""
     masks = block_masks(bits)
+    if math.comb(64 - min(m.bit_count() for m in masks), bits) > 6000:  # whatever the data: a large bucket may come
+        raise ValueError(f"{bits} bits are too many for buckets above {bucket_max}")
     keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks])).alias("b", "key"))
     sizes = written(keyed.groupBy("b", "key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     shared = keyed.join(sizes, ["b", "key"])
@@ -121,9 +123,6 @@ def links(distinct: DataFrame, bits: int, bucket_max: int = BUCKET_MAX) -> DataF
     found = members.select("members").mapInArrow(_forest(bits), "u long, v long")
     if sizes.where(F.col("n") > bucket_max).isEmpty():
         return found
-    width = 64 - min(m.bit_count() for m in masks)
-    if math.comb(width, bits) > 6000:
-        raise ValueError(f"{bits} bits are too many for buckets above {bucket_max}")
     choices = [[signed((1 << 64) - 1 ^ sum(1 << i for i in c)) for c in itertools.combinations([i for i in range(64) if not m >> i & 1], bits)] for m in masks]
     hot = shared.where(F.col("n") > bucket_max)
     cases = F.lit(None).cast("array<bigint>")

@@ -66,3 +66,8 @@ def test_empty_and_drop(spark):
     every = simhash.near_components(documents(spark, rows)).collect()
     assert out.columns == documents(spark, rows).columns
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in every if r.doc_id is None or r.doc_id == r.component_id}
+
+
+def test_too_many_bits_are_refused_whatever_the_rows(spark):
+    with pytest.raises(ValueError, match="too many"):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 4)
