@@ -25,7 +25,7 @@ def item_count(c: Column) -> Column:
 
 def highlights(c: Column) -> Column:
     section = F.regexp_extract(c, rf"##\s*{HIGHLIGHTS}\s*\n([\s\S]*?)(?=\n##|\n*\z)", 1)
-    return F.transform(F.regexp_extract_all(section, F.lit(r"(?m)^-\s+(.+)$"), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(section, F.lit(r"(?m)^-\s+(.+)$"), F.lit(1)), lambda x: F.trim(x))  # a bare trim would take the index for its characters
 
 
 def date_range(c: Column) -> Column:
