@@ -68,18 +68,18 @@ def resolve(value: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([one(v, b) for v, b in zip(value, base, strict=True)], dtype=object)
 
 
+def private(address: str | None) -> bool:
+    try:
+        ip = ipaddress.ip_address((address or "").strip("[]").split("%")[0])
+    except ValueError:
+        return (address or "").lower() == "localhost"
+    return ip.is_private or ip.is_loopback or ip.is_link_local or ip.is_unspecified or ip.is_multicast or ip.is_reserved
+
+
 @F.pandas_udf(T.BooleanType())
 def is_private(address: pd.Series) -> pd.Series:
     """Addresses that a fetch must not reach."""
-
-    def one(a: str | None) -> bool:
-        try:
-            ip = ipaddress.ip_address((a or "").strip("[]"))
-        except ValueError:
-            return (a or "").lower() == "localhost"
-        return ip.is_private or ip.is_loopback or ip.is_link_local or ip.is_unspecified or ip.is_multicast or ip.is_reserved
-
-    return address.map(one)
+    return address.map(private)
 
 
 def safe_url(c: Column) -> Column:

@@ -1,13 +1,11 @@
 """Events: rows linked by fingerprint or title similarity, grouped first-fit in order of arrival.
 
-A row joins the first-created group that holds a linked member; groups never merge. A group lies within one
-connected component of the links, and first-fit on a component is first-fit on all, so components are found
-first and each is grouped by itself. Rows without a link skip that.
+A row joins the first-created group that holds a linked member; groups never merge. Rows without a link are
+groups of their own.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,42 +44,33 @@ def links(rows: DataFrame) -> DataFrame:
     return by_name.union(met.select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b")).distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """a, b to seq, component: least reachable label with pointer jumping, a stored table each round."""
-    both = stored(edges.union(edges.select("b", "a")).distinct(), "edges")
-    now = stored(both.groupBy(F.col("a").alias("seq")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
-    while True:
-        met = both.join(now, F.col("b") == F.col("seq")).groupBy("a").agg(F.min("component").alias("near"))
-        step = now.join(met, F.col("seq") == F.col("a")).select("seq", F.least("component", "near").alias("component"))
-        up = step.select(F.col("seq").alias("component"), F.col("component").alias("higher"))
-        nxt = stored(step.join(up, "component", "left").select("seq", F.least("component", F.coalesce("higher", "component")).alias("component")), "labels")
-        if nxt.join(now.withColumnRenamed("component", "before"), "seq").where("component <> before").isEmpty():
-            return nxt
-        now = nxt
-
-
 def first_fit(edges: DataFrame) -> DataFrame:
-    """a < b (links) to seq, cluster_id: the least seq of the row's group, for rows with a link."""
-    edges = stored(edges, "links")
-    if edges.isEmpty():
-        return edges.select(F.col("a").alias("seq"), F.col("b").alias("cluster_id"))
-    named = components(edges)
+    """a < b (links) to seq, cluster_id: the least seq of the row's group, for rows with a link.
+
+    A row's group is that of the least founder among the rows linked to it that came earlier, so its founder is the least
+    seq that a falling path of links reaches. That is found by joins, each round also taking the founder's founder: no
+    group and no component has to fit in a task."""
+    down = stored(edges.select("a", "b").distinct(), "links")
+    founders = down.select(F.col("b").alias("seq"), F.col("a").alias("low")).union(down.select("a", "a"))
+    now = stored(founders.groupBy("seq").agg(F.min("low").alias("cluster_id")), "founders")
+    while True:
+        met = down.join(now, F.col("a") == F.col("seq")).groupBy("b").agg(F.min("cluster_id").alias("near"))
+        up = now.select(F.col("seq").alias("cluster_id"), F.col("cluster_id").alias("lower"))
+        step = now.join(met, F.col("seq") == F.col("b"), "left").join(up, "cluster_id")
+        least = F.least("near", "lower", "cluster_id")  # nulls are passed over
+        both = stored(step.select("seq", least.alias("cluster_id"), (least < F.col("cluster_id")).alias("fell")), "founders")
+        now = both.select("seq", "cluster_id")
+        if both.where("fell").isEmpty():
+            return now
 
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        before: dict[int, list[int]] = {}
-        for a, b in zip(pdf["a"], pdf["b"], strict=True):
-            before.setdefault(b, []).append(a)
-        out: dict[int, int] = {}
-        for seq in sorted({*pdf["a"], *pdf["b"]}):
-            out[seq] = min((out[x] for x in before.get(seq, [])), default=seq)
-        return pd.DataFrame({"seq": list(out), "cluster_id": list(out.values())})
 
-    return edges.join(named, F.col("a") == F.col("seq")).select("component", "a", "b").groupBy("component").applyInPandas(group, "seq long, cluster_id long")
+def sizes(rows: DataFrame) -> DataFrame:
+    """cluster_id, cluster_size: the number of different sources of each group."""
+    return rows.groupBy("cluster_id").agg(F.countDistinct("source_slug").alias("cluster_size"))
 
 
 def clustered(rows: DataFrame) -> DataFrame:
     """rows with cluster_id and cluster_size, the number of different sources in the row's group."""
     groups = first_fit(links(rows))
     out = stored(rows.join(groups, "seq", "left").withColumn("cluster_id", F.coalesce("cluster_id", "seq")), "clustered")
-    sizes = out.groupBy("cluster_id").agg(F.countDistinct("source_slug").alias("cluster_size"))
-    return out.join(sizes, "cluster_id")
+    return out.join(sizes(out), "cluster_id")

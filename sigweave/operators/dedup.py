@@ -25,10 +25,14 @@ def new_rows(rows: DataFrame, state: DataFrame, order: list[str]) -> DataFrame:
     return fresh.join(state.select("source_slug", "dedup_key"), ["source_slug", "dedup_key"], "left_anti")
 
 
+def pruned(state: DataFrame, as_of: Column, days: int = RETENTION_DAYS) -> DataFrame:
+    return state.where(F.col("first_seen") >= as_of - F.expr(f"interval {days} days"))
+
+
 def next_state(state: DataFrame, fresh: DataFrame, as_of: Column, days: int = RETENTION_DAYS) -> DataFrame:
     """The state with the new keys, without those first seen more than `days` ago."""
     both = state.select("source_slug", "dedup_key", "first_seen").union(fresh.select("source_slug", "dedup_key", as_of.alias("first_seen")))
-    return both.where(F.col("first_seen") >= as_of - F.expr(f"interval {days} days"))
+    return pruned(both, as_of, days)
 
 
 def run_report(rows: DataFrame, fresh: DataFrame, errors: DataFrame | None = None) -> DataFrame:

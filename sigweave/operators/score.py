@@ -16,6 +16,12 @@ def features(signals: DataFrame, compose: bool = True) -> DataFrame:
     return signals.withColumn("ts", F.try_to_timestamp("publishedAt")).withColumn("fp", text.fingerprint(F.col("title"), compose)).withColumn("tokens", text.title_tokens(F.col("title"), compose))
 
 
+def with_source(rows: DataFrame) -> DataFrame:
+    """rows (source_slug, ...) with authority and is_primary of their source; null and false where it isn't known."""
+    sources = rows.sparkSession.createDataFrame(schema.SOURCES, schema.SOURCE).select("source_slug", "authority", "is_primary")
+    return rows.join(F.broadcast(sources), "source_slug", "left").withColumn("is_primary", F.coalesce("is_primary", F.lit(False)))  # 16 rows
+
+
 def scored(signals: DataFrame, as_of: Column, context: DataFrame | None = None) -> DataFrame:
     """Signals with confidence, heat, score, cluster_id and cluster_size. context: rows of earlier days, after all
     signals in seq; they shape clusters and are not returned."""
@@ -23,11 +29,10 @@ def scored(signals: DataFrame, as_of: Column, context: DataFrame | None = None)
     if context is not None:
         pool = pool.unionByName(context.withColumn("scored", F.lit(False)))
     pool = clustered(features(pool).withColumnRenamed("sourceSlug", "source_slug")).where("scored").drop("scored")
-    sources = pool.sparkSession.createDataFrame(schema.SOURCES, schema.SOURCE).select("source_slug", "authority", "is_primary")
-    rows = pool.join(F.broadcast(sources), "source_slug", "left")  # 16 rows
+    rows = with_source(pool)
     known = ~F.coalesce(F.col("rawMeta.dateInferred"), F.lit(False))
     hours = (F.unix_micros(as_of) - F.unix_micros("ts")) / 3.6e9
     both = F.concat_ws(" ", "title", "summary")
-    rows = rows.withColumn("confidence", scoring.confidence(F.col("authority"), F.coalesce("is_primary", F.lit(False)), F.col("cluster_size")))
+    rows = rows.withColumn("confidence", scoring.confidence(F.col("authority"), F.col("is_primary"), F.col("cluster_size")))
     rows = rows.withColumn("heat", scoring.heat(F.col("category"), F.col("cluster_size"), both, hours, known))
     return rows.withColumn("score", F.col("confidence") + F.col("heat"))

@@ -36,23 +36,6 @@ def signals(feeds: DataFrame, as_of: Column, take: int = TAKE) -> DataFrame:
     return rows.select("url", "pos", "external_id", "link", "title", "summary", "when.published", "when.inferred")
 
 
-BID = "month string, bidding_no string, vehicle_class string, quota string, bids_success string, bids_received string, premium string"
-
-
-def bids(spark, path: str, vehicle_class: str = "Category D") -> DataFrame:
-    """Bidding rounds of one class; numbers with thousands separators are read."""
-    rows = spark.read.csv(path, header=True, schema=BID, enforceSchema=True).where(F.col("vehicle_class") == vehicle_class)
-    number = lambda c: F.regexp_replace(c, ",", "").try_cast("double")
-    return rows.select("month", "bidding_no", *[number(F.col(c)).alias(c) for c in ("quota", "bids_success", "bids_received", "premium")])
-
-
-def last_rounds(rows: DataFrame, order: list[str], n: int = 2) -> DataFrame:
-    """The last n rounds, as one line each, joined in order."""
-    last = rows.orderBy(*[F.col(c).desc() for c in order]).limit(n)
-    line = F.concat(F.col("month"), F.lit(" #"), F.col("bidding_no"), F.lit(": S$"), F.format_number("premium", 0))
-    return last.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, line.alias("line")))), lambda x: x["line"]), "；").alias("summary"))
-
-
 # The page of the bidding dataset, and the class whose rounds are told.
 DATASET, CLASS, ROUNDS = "https://data.gov.sg/datasets/d_69b3380ad7e51aff3a7dcc84eba52b8a/view", "Category D", 2
 

@@ -159,10 +159,14 @@ def page_meta(pages: DataFrame) -> DataFrame:
     return rows.select("url", "tier", "pos", clean(F.col("raw")).alias("title"), "link", "date", F.substring(clean(F.coalesce("about", "raw")), 1, 8000).alias("summary"))
 
 
+def paragraphs(html: Column) -> Column:
+    return F.regexp_extract_all(html, F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1))
+
+
 def excerpt(html: Column, least: int = 40, most: int = 1500) -> Column:
     """Paragraphs of `least` characters or more, of the article if there is one, until `most` are reached."""
     scope = F.coalesce(group(html, r"(?is)<article[^>]*>(.*?)</article>"), html)
-    found = F.transform(F.regexp_extract_all(scope, F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1)), text.strip_html)
+    found = F.transform(paragraphs(scope), text.strip_html)
     long_ = F.filter(found, lambda p: F.length(p) >= least)
     start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("kept"))
     grown = F.aggregate(long_, start, lambda a, p: F.when(a["n"] >= most, a).otherwise(F.struct((a["n"] + F.length(p)).alias("n"), F.concat(a["kept"], F.array(p)).alias("kept"))))

@@ -43,8 +43,6 @@ def test_bidding_rounds(spark):
     body = "month,bidding_no,vehicle_class,quota,bids_success,bids_received,premium\n2024-01,1,Category D,5,4,9,900\n2024-01,2,Category A,5,4,9,1\n"
     got = feeds.bid_signals(spark.createDataFrame([("u", body), ("none", "month,vehicle_class\n"), ("empty", "")], "url string, body string"), as_of()).collect()
     assert [(r.external_id, r.published) for r in got] == [("lta-coe-2024-01-1", dt.datetime(2024, 1, 1))]
-    rows = spark.createDataFrame([("2024-01", "2", 900.0), ("2024-01", "1", 8100.0), ("2023-12", "2", 5.0)], "month string, bidding_no string, premium double")
-    assert feeds.last_rounds(rows, ["month", "bidding_no"]).first().summary == "2024-01 #1: S$8,100；2024-01 #2: S$900"
 
 
 def test_headings_dates_and_texts(spark):
