@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sigweave import schema
 from sigweave.functions import dates, scoring, text, urls
-from sigweave.operators import cluster
-from sigweave.sources import feeds
+from sigweave.operators import cluster, dedup, render, score, writer
+from sigweave.sources import feeds, markdown, state
 from sigweave.sources import pages as page_source
 
+from . import flows
 from .queries import AS_OF, query, t
 
 #: By page_id % 8: cards with a dummy link before the title's, a script, leading text only, a teaser, a date beside that of
@@ -176,3 +178,174 @@ def first_fit_groups(spark, sf):
     n = t(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("k"))
     edges = n.toDF("a").join(n.toDF("b"), F.expr("a < b and (a * 7 + b * 3) % 13 = 0"))
     return cluster.first_fit(edges)
+
+
+def _one_of(values: list, key) -> F.Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int"))
+
+
+TIERS = [
+    """<script type="application/ld+json">{"@type":"Article","headline":"Told by data of page {id}","url":"/a/{id}"}</script><article><h2>Told by the article {id}</h2><a href="/a/{id}">x</a></article><article><h2>Another article of {id}</h2><a href="/b/{id}">x</a></article>""",
+    """<article><h2>An article beside cards {id}</h2><a href="/c/{id}">x</a></article><div class="card"><h3>A card beside articles {id}</h3><a href="/d/{id}">x</a></div><div class="card"><h3>A card of another house {id}</h3><a href="https://www.elsewhere.org/{id}">x</a></div>""",
+    """<article><h2>The same title twice {id}</h2><a href="/e/{id}">x</a></article><article><h2>The Same title twice {id}</h2><a href="/f/{id}">x</a></article><a href="/g/{id}" title="Only a link's title {id}">x</a>""",
+    """<meta property="og:type" content="article"><meta property="og:title" content="Only meta data {id}"><meta property="article:published_time" content="2024-01-05T00:00:00Z">""",
+    """<p>Nothing here</p>""",
+]
+
+
+@query(
+    """with r(k, tier, path, title) as (values (0, 0, 'a', 'Told by data of page '), (0, 1, 'b', 'Another article of '), (1, 1, 'c', 'An article beside cards '), (1, 2, 'd', 'A card beside articles '), (2, 3, 'g', 'Only a link''s title '), (3, 4, '', 'Only meta data '))
+    select page_id, tier, title || page_id as title, 'https://www.brand' || page_id || '.com/' || case when path = '' then 'news' else path || '/' || page_id end as link, k = 3 as dated from pages join r on k = page_id % 5"""
+)
+def union_tiers(spark, sf):
+    """Tiers together: the first of a link wins, other houses' cards and titles that repeat go, later tiers fill in."""
+    got = _numbered(page_source.signals(_pages(spark, sf, TIERS), F.lit(AS_OF).cast("timestamp")))
+    return got.select("page_id", "tier", "title", "link", (~F.col("inferred")).alias("dated"))
+
+
+@query("select page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || link as link from (select page_id, url, unnest(regexp_extract_all(html, '(?i)<a[^>]+href=\"(/[^\"/][^\"]*)\"', 1)) as link from pages)")
+def page_links(spark, sf):
+    """Links of pages, which all begin with a slash, made whole."""
+    found = t(spark, sf, "pages").select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(r'(?i)<a[^>]+href="([^"]+)"'), F.lit(1))).alias("link"))
+    return found.select("page_id", urls.resolve(F.col("link"), F.col("url")).alias("link"))
+
+
+@query("select page_id, cast(len(regexp_extract_all(html, '(?is)<p[^>]*>(.*?)</p>', 1)) as bigint) as paragraphs from pages")
+def page_paragraph_count(spark, sf):
+    return t(spark, sf, "pages").select("page_id", F.size(page_source.paragraphs(F.col("html"))).cast("long").alias("paragraphs"))
+
+
+SLUGS = [s[0] for s in schema.SOURCES] + [None, "unknown"]
+
+
+@query(
+    "with s(slug, authority, is_primary) as (values " + ", ".join(f"('{s[0]}', {s[5]}, {str(s[6]).lower()})" for s in schema.SOURCES) + f"""), o as (select o_orderkey, [{", ".join("null" if s is None else f"'{s}'" for s in SLUGS)}][o_orderkey % {len(SLUGS)} + 1] as slug from orders)
+    select o_orderkey, authority, coalesce(is_primary, false) as is_primary, cast(floor(coalesce(authority, 50) * 0.6::double + case when is_primary then 20 else 0 end + 0.5) as integer) as confidence from o left join s using (slug)"""
+)
+def source_dim_join_default(spark, sf):
+    """Orders as signals of the sources, of none and of one that isn't known."""
+    o = t(spark, sf, "orders").select("o_orderkey", _one_of(SLUGS, F.col("o_orderkey")).alias("source_slug"))
+    return score.with_source(o).select("o_orderkey", "authority", "is_primary", scoring.confidence(F.col("authority"), F.col("is_primary"), F.lit(1)).alias("confidence"))
+
+
+@query("select l_partkey, count(distinct l_suppkey) as sources from lineitem group by l_partkey")
+def independent_source_count(spark, sf):
+    rows = t(spark, sf, "lineitem").select(F.col("l_partkey").alias("cluster_id"), F.col("l_suppkey").alias("source_slug"))
+    return cluster.sizes(rows).toDF("l_partkey", "sources")
+
+
+@query("select strftime(o_orderdate, '%Y-%m') as month, string_agg('S$' || format('{:,}', cast(floor(o_totalprice) as bigint)), '；' order by o_orderkey) as summary from orders group by 1")
+def rounds_summary(spark, sf):
+    o = t(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", "o_totalprice")
+    return render.joined(o, "month", ["o_orderkey"], F.concat(F.lit("S$"), F.format_number(F.floor("o_totalprice"), 0)), "；").withColumnRenamed("text", "summary")
+
+
+@query("select p_partkey, 'item-' || substr(sha256(repeat('!', 1 + p_partkey % 90) || '?'), 1, 12) as slug from part")
+def hash_sha256(spark, sf):
+    """Slugs of titles without a letter: their hash."""
+    bare = F.concat(F.repeat(F.lit("!"), (F.col("p_partkey") % 90 + 1).cast("int")), F.lit("?"))
+    return t(spark, sf, "part").select("p_partkey", text.slugify(bare).alias("slug"))
+
+
+@query(
+    """with f as (select '2024-' || lpad(cast(c_custkey % 12 + 1 as varchar), 2, '0') || '-' || lpad(cast(c_custkey // 12 % 28 + 1 as varchar), 2, '0') as date, c_custkey // 336 as k, c_custkey, c_name from customer where c_custkey // 336 < 3 and c_custkey % 7 > 0),
+    p as (select date, list({'filename': date || '-子推送-' || k || 'ab.md', 'title': c_name} order by k) as pushes from f where k > 0 group by 1)
+    select date, c_name as title, cast(c_custkey % 4 as integer) as item_count, array_to_string(list_transform(range(0, least(3, c_custkey % 5)), lambda i: 'point ' || i), '|') as highlights,
+      coalesce(array_to_string(list_transform(pushes, lambda p: p.filename || '=' || p.title), '|'), '') as pushes, month(cast(date as date)) || '月' || day(cast(date as date)) || '日 · 周' || substr('日一二三四五六', dayofweek(cast(date as date)) + 1, 1) as header from f left join p using (date) where k = 0"""
+)
+def markdown_index(spark, sf):
+    """Customers as the files of a folder: a day's main file and two pushes of some days, and names that don't count."""
+    c, key = t(spark, sf, "customer"), F.col("c_custkey")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    date = F.concat(F.lit("2024-"), two(key % 12 + 1), F.lit("-"), two((F.floor(key / 12) % 28).cast("int") + 1))
+    k = F.floor(key / 336)
+    name = F.when(key % 7 == 0, F.lit("notes.md")).when(k == 0, F.concat(date, F.lit(".md"))).otherwise(F.concat(date, F.lit("-子推送-"), k.cast("string"), F.lit("ab.md")))
+    points = F.array_join(F.transform(F.slice(F.array(*[F.lit(i) for i in range(5)]), F.lit(1), (key % 5).cast("int")), lambda i: F.concat(F.lit("- point "), i.cast("string"), F.lit("\n"))), "")
+    body = F.concat(F.lit("# "), F.when(k > 0, F.lit("子推送：")).otherwise(F.lit("")), F.col("c_name"), F.lit("\n\n## 今日热点导览\n\n"), points, F.lit("\n## s\n\n"), F.repeat(F.lit("**bold**\n\ntext\n\n"), (key % 4).cast("int")))
+    days = markdown.days(markdown.entries(c.where(k < 3).select(name.alias("filename"), body.alias("content"))))
+    pushes = F.coalesce(F.array_join(F.transform("pushes", lambda p: F.concat(p["filename"], F.lit("="), p["title"])), "|"), F.lit(""))
+    return days.select("date", "title", "item_count", F.array_join("highlights", "|").alias("highlights"), pushes.alias("pushes"), "header")
+
+
+@query(
+    """with s as (select c_mktsegment as source_slug, 'k' || c_custkey as dedup_key, timestamp '2024-01-01' + (c_custkey % 60) * interval 1 day as first_seen from customer)
+    select source_slug, '{"' || source_slug || '":{' || string_agg('"' || dedup_key || '":"' || strftime(first_seen, '%Y-%m-%dT%H:%M:%S.000Z') || '"', ',' order by dedup_key) || '}}' as body from s where first_seen >= timestamp '2024-01-25' group by 1"""
+)
+def state_json(spark, sf):
+    """A state read from JSON text, kept for 30 days and written as such."""
+    at = F.concat(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 60).cast("int")), "yyyy-MM-dd"), F.lit("T00:00:00.000Z"))
+    entry = F.to_json(F.create_map("c_mktsegment", F.create_map(F.concat(F.lit("k"), F.col("c_custkey").cast("string")), at)))
+    rows = state.parsed(t(spark, sf, "customer").select(entry.alias("body")))
+    return state.as_json(dedup.pruned(rows, F.lit("2024-02-24").cast("timestamp")))
+
+
+ADDRESSES = ["http://example.com/{id}", "https://u:p@example.com/{id}", "ftp://example.com/{id}", "http://127.0.0.1/{id}", "http://192.168.4.5:8080/{id}", "https://localhost/{id}", "http://169.254.1.1/{id}", "https://93.184.216.34/{id}"]
+
+
+@query("select p_partkey, p_partkey % 8 in (0, 7) as safe, p_partkey % 3 < 2 as same_brand from part")
+def url_checks(spark, sf):
+    """Urls that may be fetched; hosts of one house."""
+    url = F.replace(_one_of(ADDRESSES, F.col("p_partkey")), F.lit("{id}"), F.col("p_partkey").cast("string"))
+    other = _one_of(["news.honda.com.my", "global.honda", "www.yamaha-motor.com"], F.col("p_partkey"))
+    return t(spark, sf, "part").select("p_partkey", urls.safe_url(url).alias("safe"), urls.same_brand(F.lit("www.honda.co.uk"), F.when(other == "global.honda", F.lit("hondaracing.com")).otherwise(other)).alias("same_brand"))
+
+
+@query(
+    """select c_custkey, case when c_custkey % 3 = 1 or c_custkey % 2 = 1 then 'short ' || c_custkey when c_custkey % 5 = 0 then 'short ' || c_custkey else 'The fetched article of ' || c_custkey || ' has a paragraph that is long enough.' end as summary from customer"""
+)
+def enriched_summaries(spark, sf):
+    """Customers as rows; excerpts of fetched articles serve scraped rows (two of three), for even keys, if they are longer."""
+    key = F.col("c_custkey")
+    link = F.concat(F.lit("https://a/"), key.cast("string"))
+    rows = t(spark, sf, "customer").select("c_custkey", link.alias("link"), _one_of(["web-scraper", "rss", "web-scraper"], key).alias("adapter"), F.concat(F.lit("short "), key.cast("string")).alias("summary"))
+    said = F.when(key % 5 == 0, F.lit("<p>Too short</p>")).otherwise(F.concat(F.lit("<article><p>No</p><p>The fetched <b>article</b> of "), key.cast("string"), F.lit(" has a paragraph that is long enough.</p></article>")))
+    got = t(spark, sf, "customer").where("c_custkey % 2 = 0").select(link.alias("url"), said.alias("html"))
+    return flows.enriched(rows, got).select("c_custkey", "summary")
+
+
+ENVELOPES = [
+    (200, """{"model":"m1","choices":[{"finish_reason":"stop","message":{"content":"{\\"n\\":{id}}"}}],"usage":{"prompt_tokens":{id},"completion_tokens":7}}"""),
+    (200, """{"choices":[{"message":{"content":"[{id}]"}}],"usage":{"prompt_tokens":1,"completion_tokens":1,"total_tokens":9}}"""),
+    (200, """{"choices":[{"finish_reason":"length","message":{"content":"{}"}}]}"""),
+    (200, """{"choices":[{"message":{"content":"no json {id}"}}]}"""),
+    (200, """{"choices":[]}"""),
+    (429, """{"error":{"type":"rate_limit_error"}}"""),
+    (503, """<html>"""),
+    (None, None),
+]
+
+
+@query(
+    """select s_suppkey, case s_suppkey % 8 when 0 then '{"n":' || s_suppkey || '}' when 1 then '[' || s_suppkey || ']' end as response,
+    [null, null, 'truncated_response', 'invalid_json', 'invalid_response', 'rate_limit_error', 'http_503', 'network_error'][s_suppkey % 8 + 1] as error, case s_suppkey % 8 when 0 then 'm1' else 'm0' end as model,
+    cast(case s_suppkey % 8 when 0 then s_suppkey when 1 then 1 else 0 end as bigint) as prompt_tokens, cast(case s_suppkey % 8 when 0 then s_suppkey + 7 when 1 then 9 else 0 end as bigint) as total_tokens from supplier"""
+)
+def model_replies(spark, sf):
+    return _answers(spark, sf).drop("completion_tokens")
+
+
+def _answers(spark, sf) -> DataFrame:
+    key = F.col("s_suppkey")
+    body = F.replace(_one_of([e[1] for e in ENVELOPES], key), F.lit("{id}"), key.cast("string"))
+    status = _one_of([e[0] for e in ENVELOPES], key).cast("int")
+    return t(spark, sf, "supplier").select("s_suppkey", writer.answer(status, body, "m0").alias("a")).select("s_suppkey", "a.*")
+
+
+@query("select case s_suppkey % 8 when 0 then 'm1' else 'm0' end as model, count(*) as asked, count(*) filter (s_suppkey % 8 < 2) as answered, cast(sum(case s_suppkey % 8 when 0 then s_suppkey when 1 then 1 else 0 end) as bigint) as prompt_tokens, cast(sum(case s_suppkey % 8 when 0 then 7 when 1 then 1 else 0 end) as bigint) as completion_tokens, cast(sum(case s_suppkey % 8 when 0 then s_suppkey + 7 when 1 then 9 else 0 end) as bigint) as total_tokens from supplier group by 1")
+def model_usage(spark, sf):
+    return writer.usage(_answers(spark, sf))
+
+
+@query(
+    """with o as (select o_orderkey as seq, 'title ' || o_orderkey as title, cast(o_orderkey % 101 as integer) as conf, cast(o_custkey % 101 as integer) as heat, length(o_orderpriority) * 8 as n from orders)
+    select seq, ['值不值得写','看点回顾','数字背后','技术拆解','本地影响','现场观察'][seq % 6 + 1] as frame, '2024-01-31-子推送-' || substr(lower(to_hex(abs(case when h >= 2147483648 then h - 4294967296 else h end))), 1, 8) || '.md' as filename
+    from (select *, list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(title, ''), lambda x: cast(ord(x) as bigint))), lambda a, x: (a * 31 + x) & 4294967295) as h from o where conf >= 60 and heat >= 60 and n >= 60 order by conf + heat desc, seq limit 25)"""
+)
+def push_names(spark, sf):
+    """The best 25 orders as rows of their own, with frames by kind and names of files by hash."""
+    key = F.col("o_orderkey")
+    rows = t(spark, sf, "orders").select(
+        key.alias("seq"), F.concat(F.lit("title "), key.cast("string")).alias("title"), F.lit("").alias("externalId"), (key % 101).alias("confidence"), (F.col("o_custkey") % 101).alias("heat"),
+        F.repeat("o_orderpriority", F.lit(8)).alias("summary"), _one_of(["new-models", "racing", "industry", "tech", "local-market", "culture"], key).alias("category"), F.lit("2024-01-31").alias("day"),
+    )
+    return flows.pushes(rows, 25).select("seq", "frame", "filename")

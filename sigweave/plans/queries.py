@@ -45,16 +45,6 @@ def page_text(spark, sf):
     return t(spark, sf, "pages").select("page_id", text.strip_html(F.col("html")).alias("body"))
 
 
-@query("select page_id, cast(len(regexp_extract_all(html, '(?is)<p[^>]*>(.*?)</p>', 1)) as bigint) as paragraphs from pages")
-def page_paragraph_count(spark, sf):
-    return t(spark, sf, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1))).cast("long").alias("paragraphs"))
-
-
-@query("select page_id, unnest(regexp_extract_all(html, '(?i)<a[^>]+href=\"([^\"]+)\"', 1)) as link from pages")
-def page_links(spark, sf):
-    return t(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'(?i)<a[^>]+href="([^"]+)"'), F.lit(1))).alias("link"))
-
-
 @query(
     """with flat as (select page_id, unnest(regexp_extract_all(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1), '(?is)<p[^>]*>(.*?)</p>', 1)) as p, generate_subscripts(regexp_extract_all(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1), '(?is)<p[^>]*>(.*?)</p>', 1), 1) as k from pages),
     clean as (select page_id, k, """
@@ -142,18 +132,16 @@ def sim_edges_window(spark, sf):
     return cluster.links(rows)
 
 
-@query(None)
+@query(
+    f"""with recursive d as (select doc_id, source, {TOKENS} as k from documents), x as (select a.doc_id as a, b.doc_id as b, len(list_intersect(a.k, b.k)) as n, len(a.k) as p, len(b.k) as q from d a join d b on a.doc_id < b.doc_id and b.doc_id - a.doc_id <= 96),
+    e as (select a, b from x where p > 0 and q > 0 and n / cast(p + q - n as double) >= 0.46), r(seq, low) as (select doc_id, doc_id from d union select e.b, r.low from r join e on e.a = r.seq),
+    c as (select seq, min(low) as cluster_id from r group by seq), g as (select cluster_id, count(distinct source) as cluster_size from c join d on doc_id = seq group by 1) select seq, cluster_id, cluster_size from c join g using (cluster_id)"""
+)
 def event_clusters(spark, sf):
     rows = _signals(spark, sf).withColumn("tokens", text.title_tokens(F.col("title"), compose=False))
     return cluster.clustered(rows).select("seq", "cluster_id", "cluster_size")
 
 
-@query("select o_orderkey, coalesce(c_mktsegment, 'none') as segment, coalesce(c_acctbal, 50.0) as authority from orders left join customer on o_custkey = c_custkey")
-def source_dim_join_default(spark, sf):
-    o, c = t(spark, sf, "orders"), t(spark, sf, "customer")
-    return o.join(c, o.o_custkey == c.c_custkey, "left").select("o_orderkey", F.coalesce("c_mktsegment", F.lit("none")).alias("segment"), F.coalesce("c_acctbal", F.lit(50.0)).alias("authority"))
-
-
 @query("select s_suppkey, cast(greatest(0, least(100, floor((s_suppkey % 100) * 0.6::double + case when s_nationkey % 2 = 0 then 20 else 0 end + least(s_suppkey % 6, 3) * 10 + 0.5))) as integer) as confidence from supplier")
 def confidence_score(spark, sf):
     s = t(spark, sf, "supplier")
@@ -283,11 +271,6 @@ def positional_join(spark, sf):
     return select.by_index(items, rows).select(F.col("index").alias("c_custkey"), "c_name", "body")
 
 
-@query("select l_partkey, count(distinct l_suppkey) as sources from lineitem group by l_partkey")
-def independent_source_count(spark, sf):
-    return t(spark, sf, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("sources"))
-
-
 @query(f"with e as ({KEYED}), n as (select source_slug, count(*) as n from (select distinct source_slug, dedup_key from e where late except select source_slug, dedup_key from e where not late) group by 1) select source_slug, count(*) as fetched, coalesce(max(n.n), 0) as new from e left join n using (source_slug) where late group by 1")
 def run_report(spark, sf):
     e = _state(spark, sf)
@@ -301,17 +284,6 @@ def date_labels(spark, sf):
     return o.select("o_orderkey", dates.date_label(ts, F.col("o_orderpriority") == "1-URGENT").alias("label"), dates.day_header(F.to_date(ts)).alias("header"))
 
 
-@query("select strftime(o_orderdate, '%Y-%m') as month, string_agg('S$' || format('{:,}', cast(floor(o_totalprice) as bigint)), '；' order by o_orderkey) as summary from orders group by 1")
-def rounds_summary(spark, sf):
-    o = t(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", F.concat(F.lit("S$"), F.format_number(F.floor("o_totalprice"), 0)).alias("line"))
-    return o.groupBy("month").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "line"))), lambda x: x["line"]), "；").alias("summary"))
-
-
-@query("select p_partkey, sha256(p_name) as sha from part")
-def hash_sha256(spark, sf):
-    return t(spark, sf, "part").select("p_partkey", F.sha2("p_name", 256).alias("sha"))
-
-
 @query(
     """with h as (select p_partkey, list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(p_name, ''), lambda x: cast(ord(x) as bigint))), lambda a, x: (a * 31 + x) & 4294967295) as h from part)
     select p_partkey, substr(lower(to_hex(abs(case when h >= 2147483648 then h - 4294967296 else h end))), 1, 8) as short from h"""
@@ -320,23 +292,6 @@ def hash_short(spark, sf):
     return t(spark, sf, "part").select("p_partkey", text.short_hash(F.col("p_name")).alias("short"))
 
 
-@query("select doc_id, len(regexp_extract_all(text, '(?m)^(.+)$', 1)) as n_lines, substr(string_split(text, chr(10))[1], 1, 80) as title from documents")
-def doc_metadata(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit("(?m)^([^\\n]+)$"), F.lit(1))).cast("long").alias("n_lines"), F.substring(F.split("text", "\n")[0], 1, 80).alias("title"))
-
-
-@query("select event_id, cast(json_extract_string(props, '$.k') as integer) as k from events")
-def json_props(spark, sf):
-    return t(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
-
-
-@query("select page_id, 0 as tier, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) as raw from pages union all select page_id, 1, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) from pages")
-def union_tiers(spark, sf):
-    p = t(spark, sf, "pages")
-    part = lambda tier, tag: p.select("page_id", F.lit(tier).alias("tier"), F.regexp_extract("html", rf"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1).alias("raw"))
-    return part(0, "h1").unionByName(part(1, "title"))
-
-
 @query("with x as (select page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) as host, length(html) as size, row_number() over (partition by lower(regexp_extract(url, '://([^/?#]*)', 1)) order by length(html) desc, page_id) as r from pages) select host, page_id, size from x where r = 1 order by size desc, page_id limit 10")
 def flagship_hosts(spark, sf):
     """The longest page of each host, the ten longest of these."""
