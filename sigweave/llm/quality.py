@@ -54,10 +54,10 @@ def passages(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     inside = np.flatnonzero(words.solid)
     of_byte = np.repeat(of_word, size)
     byte = data[inside].astype(np.int64)
-    after = np.full(len(inside), 0x20, np.int64)
-    joined = inside + 1
-    ok = joined < len(data)
-    after[ok] = data[joined[ok]]
+    # what follows a byte or a word in its own row: a row's end counts as a space, whatever row comes next
+    follows = np.append(data, np.uint8(0x20))
+    follows[bounds[1:]] = 0x20
+    after = follows[inside + 1].astype(np.int64)
     after[SPACES[after]] = 0x20
     pair = ((byte * 256 + after) * 40_503 >> 4) % PAIRS
     counts = np.bincount(of_byte * PAIRS + pair, minlength=total * PAIRS).reshape(total, PAIRS)
@@ -69,9 +69,7 @@ def passages(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     in_passage = np.maximum(1, np.bincount(of_word, minlength=total))
     out[:, PAIRS + 5] = kinds.sum(axis=1) / in_passage / 10
     out[:, PAIRS + 6] = np.bincount(of_word[size == 1], minlength=total) / in_passage
-    ends_line = np.zeros(len(size), dtype=bool)
-    ok = words.ends < len(data)
-    ends_line[ok] = data[words.ends[ok]] == 0x0A
+    ends_line = follows[words.ends] == 0x0A
     out[:, PAIRS + 7] = np.bincount(of_word[ends_line], minlength=total) / in_passage
     return out, bags
 
@@ -98,7 +96,13 @@ class Model:
         return {"h": h, "t": t, "s": s, "a": a, "z": z, "p": _sigmoid(z @ w["score"] + w["score_bias"])}
 
     def scores(self, x: np.ndarray, bags: np.ndarray) -> np.ndarray:
-        return self.forward(x, bags)["p"].astype(float) if self.weights else np.full(len(bags), self.share)
+        """In double precision."""
+        exact = Model({k: v.astype(float) for k, v in self.weights.items()})
+        return exact.forward(x.astype(float), bags)["p"] if self.weights else np.full(len(bags), self.share)
+
+    def settled(self, x: np.ndarray, bags: np.ndarray) -> np.ndarray:
+        """Scores rounded, so that a row's doesn't show in what batch it was computed."""
+        return self.scores(x, bags).round(9)
 
 
 def gradients(model: Model, x: np.ndarray, bags: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
@@ -183,7 +187,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab in slabs(batches, "text"):
             x, bags = passages(slab.data, slab.bounds)
-            yield pa.RecordBatch.from_arrays([slab.rows.column("doc_id"), pa.array(model.scores(x, bags), pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([slab.rows.column("doc_id"), pa.array(model.settled(x, bags), pa.float64())], names=["doc_id", "score"])
 
     return _rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
@@ -196,7 +200,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: floa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab in slabs(batches, "text"):
-            good = model.scores(*passages(slab.data, slab.bounds)) >= least
+            good = model.settled(*passages(slab.data, slab.bounds)) >= least
             kept = slab.rows.filter(pa.array(good))
             yield kept.select([f"c{i}" for i in range(len(names))])
 

@@ -1,4 +1,6 @@
 import random
+import re
+import string
 
 import numpy as np
 
@@ -105,3 +107,47 @@ def test_sample_is_bounded(spark, monkeypatch):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
     quality.fit(documents(spark, rows), labels)
     assert seen == {"rows": 3, "passages": 2 + quality.MOST}
+
+
+def plain_features(text):
+    """Of each passage of one text, in plain loops over its bytes."""
+    rows = []
+    spaces = b" \t\n\x0b\x0c\r"
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t-\r]+", text)]
+    for at in range(0, max(1, len(words)), quality.PASSAGE):
+        part = words[at : at + quality.PASSAGE]
+        pairs, kinds, singles, line_ends = np.zeros(quality.PAIRS), np.zeros(6), 0, 0
+        for a, b in part:
+            for i in range(a, b):
+                after = text[i + 1] if i + 1 < len(text) and text[i + 1] not in spaces else 0x20
+                pairs[((text[i] * 256 + after) * 40_503 >> 4) % quality.PAIRS] += 1
+                c = chr(text[i])
+                kinds[5 if text[i] >= 0x80 else 1 if c in string.ascii_lowercase else 2 if c in string.ascii_uppercase else 3 if c in string.digits else 4 if 0x21 <= text[i] < 0x7F else 0] += 1
+            singles += b - a == 1
+            line_ends += text[b : b + 1] == b"\n"
+        root = np.sqrt(pairs)
+        n = max(1, len(part))
+        rows.append([*(root / max(1e-6, np.linalg.norm(root))), *(kinds[1:] / max(1, kinds.sum())), kinds.sum() / n / 10, singles / n, line_ends / n])
+    return np.array(rows)
+
+
+def test_features_are_those_of_each_text_alone():
+    texts = [(t or "").encode() for _, t in corpus(21, 60)] + [b"ends\n", b"\nstarts", b"x", b"\x00y", b"no space at the end", b"next"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    x, bags = quality.passages(data, np.cumsum([0, *map(len, texts)]))
+    want = [plain_features(t) for t in texts]
+    assert bags.tolist() == [len(w) for w in want]
+    assert np.allclose(x, np.concatenate(want), atol=1e-6)
+
+
+def test_score_is_the_rows_alone(spark):
+    """Any order, 1, 3 and 40 partitions: the same model, the same scores, the same rows kept."""
+    rows, labels = labelled(5, 150)
+    rows += [(1000, "no end"), (1001, "x"), (1002, ""), (1003, None), (1004, "\nx"), (1005, " ".join(words(random.Random(1), 20_000)))]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int")
+    seen = []
+    for n, order in ((1, 1), (1, -1), (3, 1), (40, -1)):
+        docs = spark.createDataFrame([(i, t, "en", "x", "y", "z") for i, t in rows[::order]], SCHEMA).repartition(n)
+        model = quality.fit(docs, frame)
+        seen.append((sorted(quality.scored(docs, model).collect()), sorted(r.doc_id for r in quality.keep_good(docs, model).collect())))
+    assert all(s == seen[0] for s in seen[1:])
