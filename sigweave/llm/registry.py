@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_quotes, decontamination, exact_dedup, line_dedup, packing, quality, simhash, substring_dedup, url_filter, warc_fixity
+from . import bpe, chat_quotes, decontamination, exact_dedup, line_dedup, packing, quality, simhash, substring_dedup, url_filter, warc_fixity
 from .common import table
 
 REMAINDER = "crc32(cast(cast(doc_id as string) as binary)) % 3"
@@ -66,8 +66,14 @@ def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_fixity.audit(warc_fixity.layout(pages, archive=number), warc_fixity.layout(replica, archive=number))
 
 
+def op12_rank_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents")))
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit]
+    own = [op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit, op12_rank_arrays]
     return {f.__name__: f for f in own}
 
 
