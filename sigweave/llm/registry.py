@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_quotes, decontamination, exact_dedup, line_dedup, packing, quality, simhash, substring_dedup, url_filter, warc_fixity
+from . import bpe, chat_quotes, decontamination, exact_dedup, hard_negatives, line_dedup, packing, quality, simhash, spelling, substring_dedup, url_filter, warc_fixity
 from .common import table
 
 REMAINDER = "crc32(cast(cast(doc_id as string) as binary)) % 3"
@@ -66,14 +66,23 @@ def op10_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_fixity.audit(warc_fixity.layout(pages, archive=number), warc_fixity.layout(replica, archive=number))
 
 
+def op11_dual_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label_col=label, anchors="vec_id % 100 = 0", positives=5, negatives=10, least=30, most=90)
+
+
 def op12_rank_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents")))
     ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_full_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(table(spark, sf_dir, "documents"), least=7, every=31), least_n=2, ratio=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit, op12_rank_arrays]
+    own = [op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit, op11_dual_trees, op12_rank_arrays, op13_full_neighbourhoods]
     return {f.__name__: f for f in own}
 
 
@@ -136,7 +145,25 @@ from conversations
 """
 
 
+ORACLE_NEGATIVES = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, x -> floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), scores as (
+  select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as alike, list_inner_product(a.v, r.v)::bigint as score
+  from rows a, rows r where a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
+), positives as (
+  select anchor_id, id as positive_id, score as positive_score from scores where alike
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, id) as int) as rank,
+       id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id) where not alike and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the others SQL has no words; tests/llm holds them against brute force. op2's holds as long as no
     message quotes another, as in the given tables; its tests have quotes."""
-    return {"op2_quotation_links": ORACLE_CHATS, "op3_chunk_recipes": ORACLE_EXACT, "op8_url_digests": ORACLE_URLS, "op10_merkle_audit": ORACLE_WARC}
+    return {"op2_quotation_links": ORACLE_CHATS, "op3_chunk_recipes": ORACLE_EXACT, "op8_url_digests": ORACLE_URLS, "op10_merkle_audit": ORACLE_WARC, "op11_dual_trees": ORACLE_NEGATIVES}
