@@ -147,8 +147,8 @@ from conversations
 
 ORACLE_NEGATIVES = """
 with rows as (
-  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, x -> floor(256 * x::double)) as v
-  from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * x::double) for x in embedding] as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), scores as (
   select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as alike, list_inner_product(a.v, r.v)::bigint as score
   from rows a, rows r where a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
