@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ipaddress
-from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,18 +53,29 @@ def same_brand(a: Column, b: Column) -> Column:
     return x.contains(y) | y.contains(x)
 
 
-@F.pandas_udf(T.StringType())
-def resolve(value: pd.Series, base: pd.Series) -> pd.Series:
-    """Absolute http or https url, else null."""
-
-    def one(v: str | None, b: str | None) -> str | None:
-        try:
-            out = urljoin(b or "", v) if v else ""
-        except ValueError:
-            return None
-        return out if out.lower().startswith(("http://", "https://")) else None
-
-    return pd.Series([one(v, b) for v, b in zip(value, base, strict=True)], dtype=object)
+def resolve(value: Column | str, base: Column | str) -> Column:
+    """Absolute http or https url of a reference on a page, else null. Dot segments of relative references go."""
+    v, b = (F.col(c) if isinstance(c, str) else c for c in (value, base))
+    v = F.trim(F.regexp_replace(v, r"[\t\n\r]|^[\x00-\x20]+|[\x00-\x20]+$", ""))
+    whole = r"^([A-Za-z][A-Za-z0-9+.-]*:)(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"
+    part = lambda n: F.regexp_extract(b, whole, n)
+    path = F.regexp_extract(v, r"^([^?#]*)", 1)
+    rest = F.substr(v, F.length(path) + 1)
+    joined = F.when(path.startswith("/"), path).when(path == "", part(3)).otherwise(F.concat(F.regexp_extract(F.concat(F.lit("/"), F.regexp_replace(part(3), "^/", "")), "^(.*/)", 1), path))
+    query = F.when((path == "") & ~rest.startswith("?"), F.concat(part(4), rest)).otherwise(rest)
+    relative = F.concat(part(1), F.lit("//"), part(2), F.when(path == "", joined).otherwise(without_dots(joined)), query)
+    out = F.when(v.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), v).when(v.startswith("//"), F.concat(part(1), v)).otherwise(relative)
+    return F.when((v != "") & out.rlike("(?i)^https?://[^/?#]"), out)
+
+
+def without_dots(path: Column) -> Column:
+    """A path that begins with a slash, `.` and `..` worked off."""
+    none = F.array().cast("array<string>")
+    step = lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s)))
+    last = F.when(path.rlike(r"/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
+    parts = F.split(F.substr(path, F.lit(2)), "/")
+    kept = F.array_join(F.aggregate(parts, none, step), "/")
+    return F.when(path.rlike(r"/\.{1,2}(?:/|$)"), F.concat(F.lit("/"), kept, F.when(kept == "", F.lit("")).otherwise(last))).otherwise(path)
 
 
 def private(address: str | None) -> bool:

@@ -6,20 +6,30 @@ groups of their own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import stored
 
 WIDE_H, NEAR_H, SIMILAR = 504, 96, 0.46
 _US = 3_600_000_000
+#: Values of seq that are worked on together: no task gets more of a fingerprint's rows than that.
+PIECE = 1 << 18
+
+
+def _timed(rows: DataFrame) -> DataFrame:
+    return rows.select("seq", F.unix_micros("ts").alias("us"), "category", "fp", "tokens").where("us is not null")
 
 
 def links(rows: DataFrame) -> DataFrame:
-    """a < b: linked rows of seq, ts, category, fp, tokens. Equal fingerprints link within WIDE_H hours in one
-    category only; other rows link within NEAR_H hours at a token similarity of SIMILAR. The first is an equi-join.
-    The second meets on the rarest tokens (a prefix that similar sets must share) in neighbouring time buckets."""
-    rows = rows.select("seq", F.unix_micros("ts").alias("us"), "category", "fp", "tokens").where("us is not null")
+    """a < b: all linked rows of seq, ts, category, fp, tokens. Equal fingerprints link within WIDE_H hours in one
+    category only; other rows link within NEAR_H hours at a token similarity of SIMILAR. The pairs of a fingerprint grow
+    with the square of its rows; groups need only those of chains()."""
+    rows = _timed(rows)
     a, b = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
     apart = F.abs(F.col("us_a") - F.col("us_b"))
     # time buckets keep a frequent fingerprint's rows from meeting all
@@ -28,6 +38,14 @@ def links(rows: DataFrame) -> DataFrame:
     meet = (F.col("fp_a") == F.col("fp_b")) & (F.col("category_a") == F.col("category_b")) & (F.col("bucket") == F.col("bucket_b"))
     same = left.join(b.withColumn("bucket_b", wide("b")), meet)
     by_name = same.where((F.col("seq_a") < F.col("seq_b")) & (apart <= WIDE_H * _US)).select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b"))
+    return by_name.union(similar(rows))
+
+
+def similar(rows: DataFrame) -> DataFrame:
+    """a < b: rows within NEAR_H hours of each other at a token similarity of SIMILAR that don't share a fingerprint. They
+    meet on the rarest tokens (a prefix that similar sets must share) in neighbouring time buckets. rows: with us for ts."""
+    a, b = (rows.select(*[F.col(c).alias(f"{c}_{x}") for c in rows.columns]) for x in "ab")
+    apart = F.abs(F.col("us_a") - F.col("us_b"))
     ranked = rows.where("size(tokens) > 0").select("seq", F.explode("tokens").alias("token"))
     rarity = stored(ranked.groupBy("token").agg(F.count("*").alias("n")), "tokens")
     order = ranked.join(rarity, "token").groupBy("seq").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("by"))
@@ -41,7 +59,89 @@ def links(rows: DataFrame) -> DataFrame:
     alike = F.try_divide(both, F.size("tokens_a") + F.size("tokens_b") - both) >= SIMILAR
     other = ~F.coalesce(F.col("fp_a") == F.col("fp_b"), F.lit(False))
     met = pa.join(pb, ["token", "bucket"]).where((F.col("seq_a") < F.col("seq_b")) & (apart <= NEAR_H * _US) & sizes & other & alike)
-    return by_name.union(met.select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b")).distinct())
+    return met.select(F.col("seq_a").alias("a"), F.col("seq_b").alias("b")).distinct()
+
+
+def _last_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two adjacent cells (side 0 and 1), in order of group, piece and seq. kind 0: the last row a of the other
+    side, of those before b in the piece, that is near b. kind 1: b, which found none, with the least value a row must have;
+    those that a row of its side before it stands for are left out. kind 2: rows that no later one of the piece
+    makes needless, with their value."""
+    names = ["fp", "category", "edge", "piece", "side", "kind", "value", "seq", "a"]
+    here, out = None, []
+
+    def begin() -> None:
+        nonlocal below, seqs, least, most
+        # of the rows of a side, as seen from the other: values fall and seqs grow along a list, so the values are kept negated
+        below, seqs, least, most = ([], []), ([], []), [None, None], [-1, -1]
+
+    def ended() -> None:
+        for side in (0, 1):
+            out.extend((*here, side, 2, -v, s, None) for v, s in zip(below[side], seqs[side], strict=True))
+
+    below = seqs = least = most = None
+    schema = pa.schema([("fp", pa.string()), ("category", pa.string()), ("edge", pa.int64()), ("piece", pa.int64()), ("side", pa.int32()), ("kind", pa.int32()), ("value", pa.int64()), ("seq", pa.int64()), ("a", pa.int64())])
+    for batch in batches:
+        for fp, category, edge, piece, side, seq, us in zip(*[batch.column(c).to_pylist() for c in ("fp", "category", "edge", "piece", "side", "seq", "us")], strict=True):
+            if (fp, category, edge, piece) != here:
+                if here:
+                    ended()
+                here = (fp, category, edge, piece)
+                begin()
+            # from side 1, rows of side 0 are near if us_a >= us - WIDE; from side 0, those of side 1 if -us_a >= -us - WIDE
+            other, own = 1 - side, us if side == 0 else -us
+            need = (us if side == 1 else -us) - WIDE_H * _US
+            at = bisect_right(below[other], -need) - 1
+            if at < 0 and (least[side] is None or need < least[side]):
+                least[side] = need
+                out.append((*here, other, 1, need, seq, None))
+            elif at >= 0 and seqs[other][at] > most[side]:  # else a row of its side before it has that link or a later one
+                most[side] = seqs[other][at]
+                out.append((*here, other, 0, 0, seq, most[side]))
+            while below[side] and -below[side][-1] <= own:
+                below[side].pop()
+                seqs[side].pop()
+            below[side].append(-own)
+            seqs[side].append(seq)
+        if len(out) > 20_000:
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=schema)
+            out = []
+    if here:
+        ended()
+    yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=schema)
+
+
+def chains(rows: DataFrame) -> DataFrame:
+    """a < b: of the links of equal fingerprints so many that the same rows are reached along falling paths, a few a row.
+
+    Time is cut into cells of WIDE_H hours. All of a cell link, so a row needs its predecessor only (and the cell's first
+    row, which spares rounds later). Of the rows of an adjacent cell it needs the last one before it that is near:
+    those before that one are linked with it. rows: seq (distinct), us, category, fp. A cell is worked on in pieces of
+    PIECE values of seq, and only a piece's outermost rows meet those of others, so no group has to fit in a task."""
+    rows = rows.where("fp is not null and category is not null").select("fp", "category", "seq", "us", F.floor(F.col("us") / F.lit(WIDE_H * _US)).alias("cell"), F.floor(F.col("seq") / F.lit(PIECE)).alias("piece"))
+    rows = stored(rows.select("fp", "category", F.col("seq").cast("long").alias("seq"), "us", "cell", "piece"), "events")
+    group = ["fp", "category", "cell", "piece"]
+    within = rows.select(F.col("seq").alias("b"), F.lag("seq").over(Window.partitionBy(*group).orderBy("seq")).alias("before"), F.min("seq").over(Window.partitionBy(*group)).alias("first"))
+    near = within.select("b", F.explode(F.array("before", "first")).alias("a"))
+    pieces = rows.groupBy(*group).agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    along = Window.partitionBy("fp", "category", "cell")
+    heads = pieces.select(F.col("first").alias("b"), F.lag("last").over(along.orderBy("piece")).alias("before"), F.min("first").over(along).alias("start"))
+    joined = heads.select("b", F.explode(F.array("before", "start")).alias("a"))
+    # each row stands at the edge of its cell with the one before (as side 1) and with the one behind (as side 0)
+    sides = rows.select("fp", "category", F.explode(F.array(F.struct((F.col("cell") - 1).alias("edge"), F.lit(1).alias("side")), F.struct(F.col("cell").alias("edge"), F.lit(0).alias("side")))).alias("x"), "piece", "seq", "us").select("fp", "category", "x.edge", "piece", "x.side", "seq", "us")
+    dealt = sides.repartition("fp", "category", "edge", "piece").sortWithinPartitions("fp", "category", "edge", "piece", "seq")
+    met = stored(dealt.mapInArrow(_last_before, "fp string, category string, edge long, piece long, side int, kind int, value long, seq long, a long"), "edges")
+    key = ["fp", "category", "edge", "side"]
+    asked = met.where("kind = 1").select(*key, F.col("piece").alias("own"), "value", F.col("seq").alias("b"))
+    kept = met.where("kind = 2").select(*key, "piece", F.col("value").alias("has"), F.col("seq").alias("a"))
+    tops = kept.groupBy(*key, "piece").agg(F.max("has").alias("top"))
+    sent = asked.join(tops, key).where("piece < own and top >= value").groupBy(*key, "b", "value").agg(F.max("piece").alias("piece"))
+    far = sent.join(kept, [*key, "piece"]).where("has >= value").groupBy(*key, "b").agg(F.max("a").alias("a"))
+    every = [near, joined, met.where("kind = 0").select("a", F.col("seq").alias("b")), far]
+    out = every[0].select("a", "b")
+    for more in every[1:]:
+        out = out.union(more.select("a", "b"))
+    return out.where("a < b")
 
 
 def first_fit(edges: DataFrame) -> DataFrame:
@@ -71,6 +171,7 @@ def sizes(rows: DataFrame) -> DataFrame:
 
 def clustered(rows: DataFrame) -> DataFrame:
     """rows with cluster_id and cluster_size, the number of different sources in the row's group."""
-    groups = first_fit(links(rows))
+    timed = stored(_timed(rows), "titles")
+    groups = first_fit(chains(timed).union(similar(timed)))
     out = stored(rows.join(groups, "seq", "left").withColumn("cluster_id", F.coalesce("cluster_id", "seq")), "clustered")
     return out.join(sizes(out), "cluster_id")

@@ -142,6 +142,19 @@ def event_clusters(spark, sf):
     return cluster.clustered(rows).select("seq", "cluster_id", "cluster_size")
 
 
+@query(
+    """with recursive d as (select doc_id, source, lang, (doc_id * 37) % 3001 as h from documents),
+    e as (select a.doc_id as a, b.doc_id as b from d a join d b on a.source = b.source and a.lang = b.lang and a.doc_id < b.doc_id and abs(a.h - b.h) <= 504),
+    r(seq, low) as (select doc_id, doc_id from d union select e.b, r.low from r join e on e.a = r.seq), c as (select seq, min(low) as cluster_id from r group by seq),
+    g as (select cluster_id, count(distinct source) as cluster_size from c join d on doc_id = seq group by 1) select seq, cluster_id, cluster_size from c join g using (cluster_id)"""
+)
+def event_clusters_by_name(spark, sf):
+    """Documents with their sources as fingerprints, at hours out of order."""
+    ts = F.timestamp_seconds(F.lit(1_704_067_200) + (F.col("doc_id") * 37) % 3001 * 3600)
+    rows = t(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("source_slug"), F.col("lang").alias("category"), ts.alias("ts"), F.col("source").alias("fp"), F.array().cast("array<string>").alias("tokens"))
+    return cluster.clustered(rows).select("seq", "cluster_id", "cluster_size")
+
+
 @query("select s_suppkey, cast(greatest(0, least(100, floor((s_suppkey % 100) * 0.6::double + case when s_nationkey % 2 = 0 then 20 else 0 end + least(s_suppkey % 6, 3) * 10 + 0.5))) as integer) as confidence from supplier")
 def confidence_score(spark, sf):
     s = t(spark, sf, "supplier")

@@ -1,20 +1,19 @@
 """Signals from pages (url, html): tiers of extraction, first match by tier and place.
 
 The tiers are JSON-LD, articles and cards; in-page feeds replace rows without a trusted date; link titles and page
-meta data serve where nothing else is found. All of it is expressions but the card windows, which need offsets.
+meta data serve where nothing else is found. A page is read once: each tier is an array of rows made by expressions on
+the page's own row, a later tier only where the earlier ones left nothing, and what is left is exploded at the end. Nothing
+needs Python or, without feeds, a shuffle. A url that comes in several rows is a page in each of them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigweave.functions import dates, text, urls
-from sigweave.operators.dedup import drop_repeated_titles, first_wins
 
 # What marks a card, the characters read of it, the least characters of a title, results that end the search.
 CARD = "(?:post|item(?!s-)|card|entry|story|article|blog)"
@@ -48,12 +47,12 @@ DATED = "datePublished|article:published_time|publishdate"
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 
 
-def published(c: Column) -> Column:
-    """The text of a date: time element, properties, then dates written in the text."""
+def published(c: Column, said: Column) -> Column:
+    """The text of a date: time element, properties, then dates written in the text that shows."""
     name, value = f"""(?:itemprop|property|name)=["'](?:{DATED})["']""", """(?:content|datetime)=["']([^"']+)["']"""
     marked = [group(c, p) for p in (r"""(?i)<time[^>]*datetime=["']([^"']+)["'][^>]*>""", rf"(?i)<(?:meta|time)[^>]+{name}[^>]+{value}", rf"(?i)<(?:meta|time)[^>]+{value}[^>]+{name}")]
     written = [rf"(?i)\b((?:{MONTHS})\s+\d{{1,2}},\s+\d{{4}})\b", rf"(?i)\b(\d{{1,2}}\s+(?:{MONTHS})\s+\d{{4}})\b", r"\b((?:19|20)\d{2}-\d{2}-\d{2})\b", r"\b((?:19|20)\d{2}年\d{1,2}月\d{1,2}日)"]
-    return F.coalesce(*marked, once(text_content(c), lambda x: F.coalesce(*[group(x, p) for p in written])))
+    return F.coalesce(*marked, F.coalesce(*[group(said, p) for p in written]))
 
 
 def text_content(c: Column) -> Column:
@@ -63,80 +62,158 @@ def text_content(c: Column) -> Column:
     return text.trim_ws(F.regexp_replace(c, f"{text.WS}+", " "))
 
 
+#: A row of a page. Its date is text; its link may be relative until resolved().
+ROW = "struct<tier: int, pos: bigint, title: string, link: string, date: string, summary: string>"
+
+
+def row(tier: int, pos: Column, title: Column, link: Column, date: Column, summary: Column) -> Column:
+    return F.struct(F.lit(tier).alias("tier"), pos.cast("long").alias("pos"), title.alias("title"), link.alias("link"), date.alias("date"), summary.alias("summary"))
+
+
+def clean(c: Column) -> Column:
+    return once(c, lambda x: text.strip_html(text.decode_entities(x)))
+
+
+def no_rows() -> Column:
+    return F.array().cast(f"array<{ROW}>")
+
+
+def matches(html: Column, pattern: str, n: int) -> Column:
+    return F.coalesce(F.regexp_extract_all(html, F.lit(pattern), F.lit(n)), F.array().cast("array<string>"))
+
+
+def ld_nodes(html: Column) -> Column:
+    """struct(row, type, external_id) of each node of the page's JSON-LD. Malformed scripts give nothing."""
+
+    def nodes(body: Column, k: Column) -> Column:
+        listed = lambda root: F.coalesce(F.try_variant_get(root, '$["@graph"]', "array<variant>"), F.array(root))
+        return F.transform(once(F.try_parse_json(body), listed), lambda node, nth: read(node, k.cast("long") * F.lit(1 << 32) + nth))
+
+    def read(node: Column, pos: Column) -> Column:
+        get = lambda *names: F.coalesce(*[F.try_variant_get(node, f'$["{n}"]', "string") for n in names])
+        main = F.coalesce(F.try_variant_get(node, '$.mainEntityOfPage["@id"]', "string"), F.try_variant_get(node, "$.mainEntityOfPage.url", "string"), get("mainEntityOfPage"))
+        whole = row(0, pos, get("headline", "name"), F.coalesce(get("url"), main), get("datePublished", "dateCreated"), get("description", "abstract", "headline", "name"))
+        return F.struct(whole.alias("row"), get("@type").alias("type"), get("identifier", "@id").alias("external_id"))
+
+    found = F.flatten(F.transform(matches(html, r'(?is)<script[^>]+type="application/ld\+json"[^>]*>(.*?)</script>', 1), nodes))
+    filled = lambda c: F.coalesce(c, F.lit("")) != ""
+    good = F.filter(found, lambda x: x["type"].isin(JSON_TYPES) & filled(x["row"]["title"]) & filled(x["row"]["link"]))
+    cleaned = lambda r: row(0, r["pos"], clean(r["title"]), r["link"], r["date"], F.substring(clean(r["summary"]), 1, 8000))
+    return F.transform(good, lambda x: F.struct(cleaned(x["row"]).alias("row"), x["type"].alias("type"), x["external_id"].alias("external_id")))
+
+
 def json_ld(pages: DataFrame) -> DataFrame:
-    """page columns, pos and the node's title, url, date, id, summary, type. Malformed scripts give nothing."""
-    scripts = pages.select("*", F.posexplode(F.expr("regexp_extract_all(html, '(?is)<script[^>]+type=\"application/ld\\\\+json\"[^>]*>(.*?)</script>', 1)")).alias("script", "body"))
-    root = F.try_parse_json("body")
-    graph = F.try_variant_get(root, '$["@graph"]', "array<variant>")
-    nodes = scripts.select("*", F.posexplode(F.coalesce(graph, F.array(root))).alias("nth", "node"))
-    get = lambda *names: F.coalesce(*[F.try_variant_get("node", f'$["{n}"]', "string") for n in names])
-    main = F.coalesce(F.try_variant_get("node", '$.mainEntityOfPage["@id"]', "string"), F.try_variant_get("node", "$.mainEntityOfPage.url", "string"), get("mainEntityOfPage"))
-    out = nodes.select(
-        *pages.columns, F.lit(0).alias("tier"), (F.col("script").cast("long") * F.lit(1 << 32) + F.col("nth")).alias("pos"), get("@type").alias("type"), get("headline", "name").alias("raw_title"),
-        F.coalesce(get("url"), main).alias("link"), get("datePublished", "dateCreated").alias("date"), get("identifier", "@id").alias("external_id"), get("description", "abstract", "headline", "name").alias("raw_summary"),
-    ).where(F.col("type").isin(JSON_TYPES) & (F.coalesce("raw_title", F.lit("")) != "") & (F.coalesce("link", F.lit("")) != ""))
-    clean = lambda c: once(F.col(c), lambda x: text.strip_html(text.decode_entities(x)))
-    return out.withColumn("title", clean("raw_title")).withColumn("summary", F.substring(clean("raw_summary"), 1, 8000)).drop("raw_title", "raw_summary")
-
-
-def card(frame: DataFrame, body: str, tier: int) -> DataFrame:
-    """Card bodies (with href or null) to titled rows. The link is the card's own, else that of the element that gave
-    the title, else the first."""
-    found = frame.withColumn("head", once(F.col(body), heading)).withColumn("said", once(F.col(body), text_content))
-    link = F.coalesce(F.col("href"), F.col("head.href"), group(F.col(body), r'(?i)<a[^>]+href="([^"]+)"[^>]*>'))
-    clean = lambda c: once(c, lambda x: text.strip_html(text.decode_entities(x)))
-    out = found.withColumn("link", link).withColumn("date", published(F.col(body))).withColumn("raw", F.col("head.title"))
-    out = out.withColumn("summary", clean(F.substring("said", 1, 500))).withColumn("tier", F.lit(tier)).withColumn("title", clean(F.col("raw")))
-    return out.where((F.length("raw") >= TITLE) & ~F.trim("raw").rlike(r"(?i)^latest\s+.+\s+news$") & F.col("link").isNotNull()).drop(body, "href", "head", "said", "raw")
+    """page columns, pos and the node's title, url, date, id, summary, type."""
+    out = pages.select(*pages.columns, F.explode(ld_nodes(F.col("html"))).alias("node"))
+    return out.select(*pages.columns, "node.row.tier", "node.row.pos", "node.type", "node.row.link", "node.row.date", "node.external_id", "node.row.title", "node.row.summary")
+
+
+def titled(bodies: Column, tier: int) -> Column:
+    """Rows of card bodies (pos, href or null, body) with a heading. The link is the card's own, else that of the element
+    that gave the title, else the first."""
+    headed = F.transform(bodies, lambda x: F.struct(x["pos"].alias("pos"), x["href"].alias("href"), x["body"].alias("body"), heading(x["body"]).alias("head")))
+    good = F.filter(headed, lambda x: (F.length(x["head"]["title"]) >= TITLE) & ~F.trim(x["head"]["title"]).rlike(r"(?i)^latest\s+.+\s+news$"))
+
+    def whole(x: Column) -> Column:
+        link = F.coalesce(x["href"], x["head"]["href"], group(x["body"], r'(?i)<a[^>]+href="([^"]+)"[^>]*>'))
+        return once(text_content(x["body"]), lambda said: row(tier, x["pos"], clean(x["head"]["title"]), link, published(x["body"], said), clean(F.substring(said, 1, 500))))
+
+    return F.filter(F.transform(good, whole), lambda r: r["link"].isNotNull())
+
+
+def body(pos: Column, href: Column, c: Column) -> Column:
+    return F.struct(pos.cast("long").alias("pos"), href.cast("string").alias("href"), c.alias("body"))
+
+
+def article_rows(html: Column) -> Column:
+    return titled(F.transform(matches(html, r"(?is)<article.*?>(.*?)</article>", 1), lambda c, k: body(k, F.lit(None), c)), 1)
+
+
+# Opening tags of cards, in the order in which they are tried.
+_NAMED = f'class="[^"]*{CARD}[^"]*"'
+CARDS = [rf"<li[^>]*{_NAMED}[^>]*>", rf"<div[^>]*{_NAMED}[^>]*>", rf"<a[^>]*{_NAMED}[^>]*>", rf'<a[^>]+href="[^"]+"[^>]*>{text.WS}*<div[^>]*{_NAMED}[^>]*>']
+
+
+def windows(html: Column, n: int) -> Column:
+    """What follows each opening tag of a pattern, WINDOW characters: windows overlap, so a look-ahead holds them."""
+    own = group(F.lit(""), "x") if n < 2 else None
+
+    def cut(c: Column, k: Column) -> Column:
+        href = own if own is not None else group(F.regexp_extract(c, "(?i)^<a([^>]*)>", 1), r'(?i)href="([^"]+)"')
+        return body(F.lit(n << 40) + k, href, F.regexp_replace(c, f"(?i)^{CARDS[n]}", ""))
+
+    return F.transform(matches(html, rf"(?i)(?=({CARDS[n]}[\s\S]{{0,{WINDOW}}})){CARDS[n]}", 1), cut)
+
+
+def card_rows(html: Column) -> Column:
+    """A pattern is tried while the earlier ones gave fewer than ENOUGH rows."""
+    rows = titled(windows(html, 0), 2)
+    for n in range(1, len(CARDS)):
+        more = titled(windows(html, n), 2)
+        rows = once(rows, lambda before: F.when(F.size(before) < ENOUGH, F.concat(before, more)).otherwise(before))  # noqa: B023
+    return rows
+
+
+def exploded(pages: DataFrame, rows: Column) -> DataFrame:
+    return pages.select("url", F.explode(rows).alias("row")).select("url", "row.*")
 
 
 def articles(pages: DataFrame) -> DataFrame:
-    bodies = F.expr(r"regexp_extract_all(html, '(?is)<article.*?>(.*?)</article>', 1)")
-    return card(pages.select("*", F.posexplode(bodies).alias("pos", "body")).withColumn("href", F.lit(None).cast("string")), "body", 1)
+    return exploded(pages, article_rows(F.col("html")))
 
 
 def cards(pages: DataFrame) -> DataFrame:
-    """Windows after the opening tags of four patterns; a pattern is tried while the earlier ones gave fewer than
-    ENOUGH rows."""
-    named = f'class="[^"]*{CARD}[^"]*"'
-    patterns = [re.compile(p, re.IGNORECASE) for p in (rf"<li[^>]*{named}[^>]*>", rf"<div[^>]*{named}[^>]*>", rf"<a([^>]*{named}[^>]*)>", rf'<a([^>]+href="[^"]+"[^>]*)>\s*<div[^>]*{named}[^>]*>')]
-    href = re.compile(r'href="([^"]+)"', re.IGNORECASE)
-
-    def windows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            out = []
-            for url, html in zip(pdf["url"], pdf["html"], strict=True):
-                for n, p in enumerate(patterns):
-                    for k, m in enumerate(p.finditer(html or "")):
-                        found = href.search(m[1]) if p.groups else None
-                        out.append((url, n, n << 40 | k, found[1] if found else None, html[m.end() : m.end() + WINDOW]))
-            yield pd.DataFrame(out, columns=["url", "pattern", "pos", "href", "body"])
-
-    rows = card(pages.select("url", "html").mapInPandas(windows, "url string, pattern int, pos long, href string, body string"), "body", 2)
-    earlier = F.count("*").over(Window.partitionBy("url").orderBy("pattern").rangeBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("earlier", earlier).where(F.col("earlier") < ENOUGH).drop("pattern", "earlier")
+    return exploded(pages, card_rows(F.col("html")))
 
 
-def titled_links(pages: DataFrame) -> DataFrame:
+def by_key(rows: Column, key, keep) -> Column:
+    """The rows for which keep(their key, that before, that behind) holds when they are in order of key, tier and place;
+    then in order of tier and place."""
+    ordered = F.sort_array(F.transform(rows, lambda r: F.struct(key(r).alias("key"), r.alias("row"))))
+    kept = once(ordered, lambda s: F.filter(s, lambda x, i: keep(x["key"], F.get(s, i - 1)["key"], F.get(s, i + 1)["key"])))
+    return F.sort_array(F.transform(kept, lambda x: x["row"]))
+
+
+def first_of_link(rows: Column) -> Column:
+    return by_key(rows, lambda r: r["link"], lambda me, before, _: ~before.eqNullSafe(me))
+
+
+def without_repeated_titles(rows: Column) -> Column:
+    """Rows whose title, in any case, no other row of the page has."""
+    return by_key(rows, lambda r: F.lower(r["title"]), lambda me, before, behind: ~before.eqNullSafe(me) & ~behind.eqNullSafe(me))
+
+
+def resolved(rows: Column, url: Column) -> Column:
+    whole = F.transform(rows, lambda r: r.withField("link", urls.resolve(r["link"], url)))
+    return F.filter(whole, lambda r: r["link"].isNotNull())
+
+
+def link_rows(html: Column, url: Column) -> Column:
     """Links with a title of 6 to 80 characters after the address; the first of a link, none to the page itself."""
     pattern = r'(?i)<a[^>]+href="([^"]+)"[^>]*\btitle="([^"]{6,80})"[^>]*>'
-    rows = pages.select("url", F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(0))).alias("pos", "tag"))
-    title = once(F.trim(F.regexp_extract("tag", pattern, 2)), lambda x: text.strip_html(text.decode_entities(x)))
-    rows = rows.select("url", F.lit(3).alias("tier"), "pos", title.alias("title"), urls.resolve(F.regexp_extract("tag", pattern, 1), F.col("url")).alias("link"))
-    rows = rows.where("link is not null and title <> '' and link <> url").select("*", F.lit(None).cast("string").alias("date"), F.col("title").alias("summary"))
-    return first_wins(rows, ["url", "link"], ["pos"])
+
+    def read(tag: Column, k: Column) -> Column:
+        return once(clean(F.trim(F.regexp_extract(tag, pattern, 2))), lambda title: row(3, k, title, F.regexp_extract(tag, pattern, 1), F.lit(None).cast("string"), title))
+
+    found = resolved(F.transform(matches(html, pattern, 0), read), url)
+    return first_of_link(F.filter(found, lambda r: (r["title"] != "") & (r["link"] != url)))
+
+
+def titled_links(pages: DataFrame) -> DataFrame:
+    return exploded(pages, link_rows(F.col("html"), F.col("url")))
 
 
-def feed_rows(pages: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Rows of the feeds that pages name. feeds: feed_url, feed_body as fetched, a row a feed."""
-    bodies = pages.select("url", urls.resolve(feed_link(F.col("html")), F.col("url")).alias("feed_url")).join(feeds, "feed_url")
-    rows = bodies.select("url", F.posexplode(F.regexp_extract_all("feed_body", F.lit(r"(?i)<(?:item|entry)>([\s\S]*?)</(?:item|entry)>"), F.lit(1))).alias("pos", "item"))
-    tag = lambda *names: F.coalesce(*[F.nullif(F.trim(F.regexp_extract("item", rf"(?i)<{n}[^>]*>([\s\S]*?)</{n}>", 1)), F.lit("")) for n in names])
-    link = F.coalesce(group(F.col("item"), r'(?i)<link[^>]+href="([^"]+)"'), tag("link"))
-    clean = lambda c: once(c, lambda x: text.strip_html(text.decode_entities(x)))
-    summary = F.substring(clean(F.coalesce(tag("description", "summary"), tag("title"))), 1, 8000)
-    rows = rows.select("url", F.lit(0).alias("tier"), "pos", clean(tag("title")).alias("title"), link.alias("link"), tag("pubDate", "published").alias("date"), summary.alias("summary"))
-    return rows.where("title is not null and link is not null")
+def feed_items(feed: Column) -> Column:
+    """Rows of a feed as fetched, links as they stand there."""
+
+    def read(item: Column, k: Column) -> Column:
+        tag = lambda *names: F.coalesce(*[F.nullif(F.trim(F.regexp_extract(item, rf"(?i)<{n}[^>]*>([\s\S]*?)</{n}>", 1)), F.lit("")) for n in names])
+        link = F.coalesce(group(item, r'(?i)<link[^>]+href="([^"]+)"'), tag("link"))
+        summary = F.substring(clean(F.coalesce(tag("description", "summary"), tag("title"))), 1, 8000)
+        return row(0, k, clean(tag("title")), link, tag("pubDate", "published"), summary)
+
+    rows = F.transform(matches(feed, r"(?i)<(?:item|entry)>([\s\S]*?)</(?:item|entry)>", 1), read)
+    return F.filter(rows, lambda r: r["title"].isNotNull() & r["link"].isNotNull())
 
 
 def feed_link(html: Column) -> Column:
@@ -149,14 +226,17 @@ def meta(html: Column, name: str) -> Column:
     return F.coalesce(group(html, rf'(?i)<meta[^>]+{key}[^>]+content="([^"]*)"'), group(html, rf'(?i)<meta[^>]+content="([^"]*)"[^>]+{key}'))
 
 
-def page_meta(pages: DataFrame) -> DataFrame:
+def meta_rows(html: Column, url: Column) -> Column:
     """One row for a page that calls itself an article or news and has a date."""
-    html = F.col("html")
     title = F.coalesce(meta(html, "og:title"), group(html, r"(?is)<title[^>]*>(.*?)</title>"))
-    rows = pages.select("url", F.lit(4).alias("tier"), F.lit(0).alias("pos"), title.alias("raw"), urls.resolve(F.coalesce(meta(html, "og:url"), F.col("url")), F.col("url")).alias("link"), F.coalesce(meta(html, "article:published_time"), meta(html, "datePublished")).alias("date"), meta(html, "og:type").alias("kind"), meta(html, "og:description").alias("about"))
-    clean = lambda c: once(c, lambda x: text.strip_html(text.decode_entities(x)))
-    rows = rows.where(F.col("raw").isNotNull() & F.col("kind").rlike("(?i)article|news") & F.col("link").isNotNull() & dates.parse_date(F.col("date")).isNotNull())
-    return rows.select("url", "tier", "pos", clean(F.col("raw")).alias("title"), "link", "date", F.substring(clean(F.coalesce("about", "raw")), 1, 8000).alias("summary"))
+    date, about = F.coalesce(meta(html, "article:published_time"), meta(html, "datePublished")), meta(html, "og:description")
+    whole = row(4, F.lit(0), clean(title), F.coalesce(meta(html, "og:url"), url), date, F.substring(clean(F.coalesce(about, title)), 1, 8000))
+    dated = F.filter(F.array(whole), lambda r: r["title"].isNotNull() & dates.parse_date(r["date"]).isNotNull())
+    return F.when(meta(html, "og:type").rlike("(?i)article|news"), resolved(dated, url)).otherwise(no_rows())
+
+
+def page_meta(pages: DataFrame) -> DataFrame:
+    return exploded(pages, meta_rows(F.col("html"), F.col("url")))
 
 
 def paragraphs(html: Column) -> Column:
@@ -178,20 +258,20 @@ def signals(pages: DataFrame, as_of: Column, take: int = TAKE, feeds: DataFrame
     the first of a link, no title that a page repeats, the first `take` of a page. Cards of another brand's site go.
     feeds (feed_url, feed_body): a page's feed with a date that is given replaces rows of which none has one. Pages
     without a row give their titled links (tier 3), pages without these their meta data (tier 4)."""
-    pages = pages.select("url", "html")
-    names = ["url", "tier", "pos", "title", "link", "date", "summary"]
-    plain = lambda f: f.select(*[F.col(c).cast("long") if c == "pos" else F.col(c) for c in names])
-    placed = lambda f, way: plain(f).withColumn("way", F.lit(way)).withColumn("when", dates.dated(F.col("date"), as_of))
-    tiers = plain(json_ld(pages)).unionByName(plain(articles(pages))).unionByName(plain(cards(pages)))
-    rows = placed(tiers.withColumn("link", urls.resolve("link", "url")), 0).where("link is not null")
-    rows = rows.where((F.col("tier") == 0) | F.coalesce(urls.same_brand(urls.host(F.col("link")), urls.host(F.col("url"))), F.lit(True)))
+    html, url = F.col("html"), F.col("url")
+    brand = lambda r: (r["tier"] == 0) | F.coalesce(urls.same_brand(urls.host(r["link"]), urls.host(url)), F.lit(True))
+    tiers = F.concat(F.transform(ld_nodes(html), lambda x: x["row"]), article_rows(html), card_rows(html))
+    named = urls.resolve(feed_link(html), url) if feeds is not None else F.lit(None).cast("string")
+    rows = pages.select("url", "html", named.alias("feed_url"), F.filter(resolved(F.coalesce(tiers, no_rows()), url), brand).alias("rows"))
+    rows = rows.withColumn("kept", without_repeated_titles(first_of_link(F.col("rows"))))
+    later = once(link_rows(html, url), lambda found: F.when(F.size(found) > 0, found).otherwise(meta_rows(html, url)))
+    rows = rows.withColumn("later", F.when((F.size("kept") == 0) | F.col("feed_url").isNotNull(), later).otherwise(no_rows())).drop("html")
     if feeds is not None:
-        fed = placed(feed_rows(pages, feeds).withColumn("link", urls.resolve("link", "url")), 1).where("link is not null")
-        page = Window.partitionBy("url")
-        given = lambda way: F.coalesce(F.bool_or(~F.col("when.inferred") & (F.col("way") == way)).over(page), F.lit(False))
-        rows = rows.unionByName(fed).withColumn("fed", given(1) & ~given(0)).where(F.col("fed") == (F.col("way") == 1)).drop("fed")
-    rows = drop_repeated_titles(first_wins(rows, ["url", "link"], ["tier", "pos"]), "url", "title")
-    rows = rows.withColumn("way", F.lit(0)).unionByName(placed(titled_links(pages), 1)).unionByName(placed(page_meta(pages), 2))
-    rows = rows.withColumn("least", F.min("way").over(Window.partitionBy("url"))).where("way = least")
-    w = Window.partitionBy("url").orderBy("tier", "pos")
-    return rows.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= take).select("url", "link", "title", "summary", "when.published", "when.inferred", "tier", "pos")
+        items = feeds.select("feed_url", feed_items(F.col("feed_body")).alias("items"))
+        given = lambda c: F.exists(c, lambda r: dates.parse_date(r["date"]).isNotNull())
+        rows = rows.join(items, "feed_url", "left").withColumn("items", resolved(F.coalesce("items", no_rows()), url))
+        chosen = without_repeated_titles(first_of_link(F.col("items")))
+        rows = rows.withColumn("kept", F.when(given(F.col("items")) & ~given(F.col("rows")), chosen).otherwise(F.col("kept")))
+    first = F.slice(F.when(F.size("kept") > 0, F.col("kept")).otherwise(F.col("later")), 1, take)
+    out = rows.select("url", F.explode(first).alias("row")).select("url", "row.*", dates.dated(F.col("row.date"), as_of).alias("when"))
+    return out.select("url", "link", "title", "summary", "when.published", "when.inferred", "tier", "pos")
