@@ -5,11 +5,13 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import hashlib
 import itertools
+import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +80,21 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sent_file(spark: SparkSession, tag: str, write: Callable[[str], None]) -> str:
+    """Sends what write(path) makes to all executors, those to come too: a name for SparkFiles.get, which tells the content."""
+    folder = tempfile.mkdtemp(prefix="sigweave-")  # the driver's own: executors fetch the file from the driver
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    write(made := os.path.join(folder, "made"))
+    with open(made, "rb") as file:
+        name = f"{tag}-{hashlib.file_digest(file, 'sha256').hexdigest()[:24]}.bin"
+    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        shutil.rmtree(folder, ignore_errors=True)
+    else:
+        os.rename(made, path := os.path.join(folder, name))
+        spark.sparkContext.addFile(path)
+    return name
+
+
 class Slab:
     """Adjacent rows of an Arrow batch: their texts as one byte array with row bounds."""
 

@@ -9,25 +9,27 @@ character q-grams with it, on k + 1 neighbouring diagonals. Shared q-grams are c
 diagonals of one row that overlap by k, so that one band holds them all; bands that meet the bound are regions, and a
 banded alignment of the region, which does not leave the row, decides.
 
-The benchmark is taken in blocks of BLOCK characters, each one pass over the documents: what goes to the
-executors is bounded. Defined results: null text is empty; segments under 2 q characters are looked for without
+The benchmark is taken in blocks of BLOCK characters, each one pass over the documents. The driver makes a block's
+arrays, some 60 bytes a character, one file that each executor fetches once and its workers map into memory together:
+neither what is sent nor what a worker holds of its own grows with the benchmark. Defined results: null text is empty; segments under 2 q characters are looked for without
 edits, items under q characters as whole words without edits; an item without letters and digits is in no document;
 items that repeat are found each; rows that repeat stay.
 """
 
 from __future__ import annotations
 
-import uuid
+import json
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, pick, ranges, slabs, text_of, written
+from .common import column, pick, ranges, sent_file, slabs, text_of, written
 
 Q, SEGMENT, EDITS, BAND = 8, 120, 10, 32
 SHORT, PASSAGE, FEW = 64, 80, 20
@@ -37,7 +39,7 @@ PAD = 3 * SEGMENT + 2 * BAND
 _OTHER = regex.compile(r"[\W_]+")
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
-#: The block that this worker searched last, by the name of its broadcast.
+#: The block that this worker searched last, by the name of its file.
 _built: dict[str, "Benchmark"] = {}
 
 
@@ -81,11 +83,9 @@ class Benchmark:
     """Segments of items and their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item: list[int] = []
-        self.segments: list[np.ndarray] = []
         #: Items under Q characters, by their text.
         self.short: dict[str, list[int]] = {}
-        starts, each, codes, of, at, cover, by = [], [], [], [], [], [], []
+        starts, each, codes, size, cover, names, whole = [], [], [], [], [], [], []
         total = 0
         for item, text in items:
             points = _points(body := normal(text))
@@ -95,39 +95,75 @@ class Benchmark:
                 continue
             grams = _grams(points)
             codes.append(grams)
-            of.append(np.full(len(grams), len(of)))
-            at.append(np.arange(len(grams)))
+            whole.append(points)
             for (start, end), edits in _places(len(points)).items():
-                cover.append(np.arange(total + start, total + end - Q + 1))
-                by.append(np.full(end - start - Q + 1, len(self.segments)))
+                cover.append((total + start, total + end - Q + 1))
                 starts.append(start)
-                each.append((edits, len(of) - 1))
-                self.item.append(item)
-                self.segments.append(points[start:end])
+                size.append(end - start)
+                each.append((edits, len(whole) - 1))
+                names.append(-1 if item is None else item)
             total += len(grams)
-        size = np.array([len(s) for s in self.segments], np.int64)
+        self.item, self.start, self.size = (np.array(x, np.int64) for x in (names, starts, size))
         each = np.array(each, np.int64).reshape(-1, 2)
-        self.edits = np.where(size < 2 * Q, 0, np.minimum(size // each[:, 0], (size - Q) // Q))
-        self.least = size - Q + 1 - self.edits * Q
-        self.start = np.array(starts, np.int64)
+        self.edits = np.where(self.size < 2 * Q, 0, np.minimum(self.size // each[:, 0], (self.size - Q) // Q))
+        self.least = self.size - Q + 1 - self.edits * Q
         #: Of each whole item: the most edits and the lowest bound of its segments.
-        self.most, self.lowest = np.zeros(len(of), np.int64), np.full(len(of), 10**6)
+        self.most, self.lowest = np.zeros(len(whole), np.int64), np.full(len(whole), 10**6)
         np.maximum.at(self.most, each[:, 1], self.edits)
         np.minimum.at(self.lowest, each[:, 1], self.least)
-        none = np.zeros(0, np.int64)
+        #: The items' signs, one after the other, and where a segment begins there.
+        self.points = np.concatenate([np.zeros(0, np.uint32), *whole])
+        begins = np.cumsum([0, *[len(w) for w in whole]])
+        self.begin = begins[each[:, 1]] + self.start
+        # 32 bits name any gram or segment of a block
+        grams = np.array([len(c) for c in codes], np.int64)
+        self.of, self.at = np.repeat(np.arange(len(codes), dtype=np.int32), grams), ranges(grams).astype(np.int32)
+        self.span = int(self.at.max(initial=0)) + 1
+        cover = np.array(cover, np.int64).reshape(-1, 2)
+        counts = np.diff(cover, axis=1)[:, 0]
+        covered = (np.repeat(cover[:, 0], counts) + ranges(counts)).astype(np.int32)
+        self.by = np.repeat(np.arange(len(counts), dtype=np.int32), counts)[np.argsort(covered, kind="stable")]
+        self.covered = np.append(0, np.cumsum(np.bincount(covered, minlength=total)))
+        del covered
         codes = np.concatenate([np.zeros(0, np.uint64), *codes])
         order = np.argsort(codes, kind="stable")
-        self.gram = order
-        self.of, self.at = np.concatenate([none, *of]), np.concatenate([none, *at])
-        self.span = int(self.at.max(initial=0)) + 1
-        cover, by = np.concatenate([none, *cover]), np.concatenate([none, *by])
-        self.by = by[np.argsort(cover, kind="stable")]
-        self.covered = np.append(0, np.cumsum(np.bincount(cover, minlength=total)))
+        self.gram = order.astype(np.int32)
         self.codes, first = np.unique(codes[order], return_index=True)
         self.first = np.append(first, len(codes))
         self.filter = np.zeros(1 << 22, dtype=bool)
         self.filter[(self.codes * _SPREAD) >> np.uint64(42)] = True
 
+    @property
+    def segments(self) -> list[np.ndarray]:
+        return [self.points[a : a + n] for a, n in zip(self.begin.tolist(), self.size.tolist(), strict=True)]
+
+    def write(self, path: str) -> None:
+        """Each array at a multiple of 64 bytes, after a line that says where they are."""
+        arrays = {k: v for k, v in vars(self).items() if isinstance(v, np.ndarray)}
+        plan, at = {}, 0
+        for k, v in arrays.items():
+            plan[k] = (v.dtype.str, at, len(v))
+            at += -(-v.nbytes // 64) * 64
+        head = json.dumps({"arrays": plan, "rest": {"span": self.span, "short": self.short}}).encode() + b"\n"
+        head = head[:-1].ljust(-(-len(head) // 64) * 64 - 1) + b"\n"
+        with open(path, "wb") as out:
+            out.write(head)
+            for k, v in arrays.items():
+                out.seek(len(head) + plan[k][1])
+                out.write(v.tobytes())
+            out.truncate(len(head) + at)
+
+    @staticmethod
+    def mapped(path: str) -> "Benchmark":
+        known = Benchmark.__new__(Benchmark)
+        with open(path, "rb") as file:
+            head = file.readline()
+        told = json.loads(head)
+        for k, (kind, at, n) in told["arrays"].items():
+            setattr(known, k, np.memmap(path, kind, "r", len(head) + at, n).view(np.ndarray) if n else np.zeros(0, kind))
+        vars(known).update(told["rest"])
+        return known
+
     def regions(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Segment, row and band (of diagonals: place in the row less place in the segment) that meet the bound. Rows
         begin at `starts` and end a sign before the next. Only grams in a band of their whole item that meets the lowest
@@ -145,7 +181,7 @@ class Benchmark:
         counts = self.first[entry + 1] - self.first[entry]
         gram = self.gram[np.repeat(self.first[entry], counts) + ranges(counts)]
         hit, row, item = np.repeat(hit, counts), np.repeat(row, counts), self.of[gram]
-        longest, items, parts = int(np.diff(starts).max()), len(self.most), len(self.segments)
+        longest, items, parts = int(np.diff(starts).max()), len(self.most), len(self.start)
         key, before, wide = _bands(row * items + item, hit - self.at[gram] + self.span, self.most[item], longest + self.span)
         found, counts = np.unique(np.concatenate([key, before[before >= 0]]), return_counts=True)
         found = found[counts >= self.lowest[found // wide % items]]
@@ -173,11 +209,11 @@ class Benchmark:
         for lo in range(0, len(segment), 512):
             part = order[lo : lo + 512]
             s, first, last = segment[part], low[part, None], high[part, None]
-            size = np.array([len(self.segments[i]) for i in s])
+            size = self.size[s]
             top = int(size.max(initial=0))
             pattern = np.zeros((len(s), top), np.uint32)
-            for row, i in enumerate(s):
-                pattern[row, : size[row]] = self.segments[i]
+            inside = np.arange(top) < size[:, None]
+            pattern[inside] = self.points[np.repeat(self.begin[s], size) + ranges(size)]
             width = BAND + int(self.edits[s].max(initial=0))
             diagonals = first + place[part, None] + np.arange(width)
             at = np.clip(diagonals, -PAD, len(points) + PAD - top) + PAD
@@ -234,14 +270,13 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str)
     names = ["item_id", "n_segments", "n_found", "edits", "at"]
 
     def search(block: list[tuple[int, str]]) -> DataFrame:
-        name, sent = uuid.uuid4().hex, rows.sparkSession.sparkContext.broadcast(block)
+        name = sent_file(rows.sparkSession, "benchmark", Benchmark(block).write)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if name not in _built:
                 _built.clear()
-                _built[name] = Benchmark(sent.value)
-            known = _built[name]
-            item = np.array([-1 if i is None else i for i in known.item], np.int64)
+                _built[name] = Benchmark.mapped(SparkFiles.get(name))
+            known, item = _built[name], _built[name].item
             of_item = dict(zip(*[x.tolist() for x in np.unique(item, return_counts=True)], strict=True))
             for slab in slabs(batches, "text"):
                 texts = [normal(t) for t in slab.rows.column("text").to_pylist()]

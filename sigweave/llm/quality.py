@@ -30,6 +30,8 @@ WIDTH = PAIRS + SHAPES
 SAMPLE = 3000
 #: Passages of a row to learn from, at most: with SAMPLE, 200 MB on the driver.
 MOST = 32
+#: Passages that are encoded at a time.
+STEP = 1024
 
 _KIND = np.zeros(256, np.int64)  # 1 lower-case letter, 2 upper, 3 digit, 4 other ASCII sign, 5 byte of a longer character
 _KIND[ord("a") : ord("z") + 1] = 1
@@ -87,7 +89,8 @@ class Model:
 
     def forward(self, x: np.ndarray, bags: np.ndarray) -> dict[str, np.ndarray]:
         w, at = self.weights, np.cumsum(bags) - bags
-        h = np.tanh(x @ w["encode"] + w["encode_bias"])
+        # in steps of passages, since in double precision all of a long text's features would be large
+        h = np.concatenate([np.tanh(x[i : i + STEP].astype(w["encode"].dtype, copy=False) @ w["encode"] + w["encode_bias"]) for i in range(0, len(x), STEP)])
         t, s = np.tanh(h @ w["value"]), _sigmoid(h @ w["gate"])
         a = (t * s) @ w["attend"]
         a = np.exp(a - np.repeat(np.maximum.reduceat(a, at), bags))
@@ -98,7 +101,7 @@ class Model:
     def scores(self, x: np.ndarray, bags: np.ndarray) -> np.ndarray:
         """In double precision."""
         exact = Model({k: v.astype(float) for k, v in self.weights.items()})
-        return exact.forward(x.astype(float), bags)["p"] if self.weights else np.full(len(bags), self.share)
+        return exact.forward(x, bags)["p"] if self.weights else np.full(len(bags), self.share)
 
     def settled(self, x: np.ndarray, bags: np.ndarray) -> np.ndarray:
         """Scores rounded, so that a row's doesn't show in what batch it was computed."""

@@ -143,13 +143,3 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = written(rooted.join(whole, "root").select("fp", "component_id"), "named")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
-
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, bits: int = 3) -> DataFrame:
-    """docs with one document of each component: that with the smallest doc_id. A null doc_id stays."""
-    names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    key = f"c{column(docs, id_col)}"
-    rows = near_components(plain, key, f"c{column(docs, text_col)}", shingle, bits)
-    lost = written(rows.where("doc_id <> component_id").select("doc_id").distinct(), "lost")
-    out = plain.join(lost, F.col(key).cast("long") == F.col("doc_id"), "left_anti")
-    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

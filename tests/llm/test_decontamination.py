@@ -151,3 +151,39 @@ def test_tails_of_items_at_the_ends_of_a_text():
             segment, edits, end = find(known, dc._points(text))
             assert all(least_edits("".join(map(chr, known.segments[s])), text) <= e <= known.edits[s] for s, e in zip(segment[:1].tolist(), edits[:1].tolist(), strict=True))
             assert (end <= len(text)).all()
+
+
+def test_mapped_block_is_the_same(tmp_path):
+    """A block read back from its file, also an empty one and one of short items only, finds what it found."""
+    rows, items = cases(7)
+    for some in (items, [], [(1, "ab"), (None, "xyz")]):
+        known = dc.Benchmark(some)
+        known.write(f"{tmp_path}/block")
+        again = dc.Benchmark.mapped(f"{tmp_path}/block")
+        assert vars(known).keys() == vars(again).keys()
+        assert all(np.array_equal(v, getattr(again, k)) for k, v in vars(known).items())
+        for _, t in rows[:20]:
+            text = dc.normal(t or "")
+            if text:
+                assert [x.tolist() for x in find(known, dc._points(text))] == [x.tolist() for x in find(again, dc._points(text))]
+
+
+def test_a_large_block_holds_little_of_its_own(tmp_path):
+    """A worker maps a block of a million characters; its own memory hardly grows."""
+    import subprocess
+    import sys
+
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(5000)]
+    dc.Benchmark([(i, " ".join(rng.choices(words, k=150))) for i in range(1000)]).write(f"{tmp_path}/block")
+    code = f"""
+import re, numpy as np
+from sigweave.llm import decontamination as dc
+own = lambda: int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+before = own()
+known = dc.Benchmark.mapped({f"{tmp_path}/block"!r})
+points = dc._points("some words that no item has " * 200)
+known.find(np.append(points, np.uint32(10)), np.array([0, len(points) + 1]))
+print(own() - before)
+"""
+    assert float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 100
