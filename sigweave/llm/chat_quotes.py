@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from .common import pick, text_of, written
 
 MARKS = r"^[ \t]*(?:>[ \t]?)+"
-ATTRIBUTION = r"^.{0,200}(?:wrote|schrieb|écrit|escribió)[ \t]?:[ \t]*$"
-#: Characters of a normalised line below which it links nothing by itself.
+ATTRIBUTION = r"(?:wrote|schrieb|écrit|escribió)[ \t]?:[ \t]*$"
+#: Characters of a normalised passage below which it links nothing by itself, unless a caller asks for others: "Yes." and
+#: "Thanks!" are said by many turns. 1 links every passage.
 LEAST = 12
 
 
@@ -43,17 +44,11 @@ def lines(text: Column) -> Column:
 
 
 def passages(parsed: Column) -> Column:
-    """Runs of lines of one depth, as structs: depth, bodies."""
-    empty = F.lit(None).cast("array<struct<depth:int,bodies:array<string>>>")
-
-    def grow(acc: Column, line: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        fresh = F.array(F.struct(line["depth"].alias("depth"), F.array(line["body"]).alias("bodies")))
-        joined = F.array(F.struct(line["depth"].alias("depth"), F.concat(last["bodies"], F.array(line["body"])).alias("bodies")))
-        same = F.coalesce(last["depth"] == line["depth"], F.lit(False))
-        return F.when(same, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), joined)).otherwise(F.concat(acc, fresh))
-
-    return F.aggregate(parsed, F.coalesce(empty, F.array().cast("array<struct<depth:int,bodies:array<string>>>")), grow)
+    """Runs of lines of one depth, as structs: depth, bodies. Linear: where the depth changes a run starts, and each run is
+    a slice from its start to the next."""
+    starts = F.filter(F.transform(parsed, lambda line, i: F.struct(i.alias("i"), ((i == 0) | (F.get(parsed, i - 1)["depth"] != line["depth"])).alias("first"))), lambda x: x["first"])
+    bounded = F.transform(F.array(starts), lambda s: F.transform(s, lambda x, k: F.struct(x["i"].alias("at"), F.coalesce(F.get(s, k + 1)["i"], F.size(parsed)).alias("to"))))[0]
+    return F.transform(bounded, lambda x: F.struct(F.get(parsed, x["at"])["depth"].alias("depth"), F.transform(F.slice(parsed, x["at"] + 1, x["to"] - x["at"]), lambda line: line["body"]).alias("bodies")))
 
 
 def parsed(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -74,18 +69,19 @@ def _hash(c: Column) -> Column:
     return F.sha2(_normal(c), 256)
 
 
-def link(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, depth, n (passage of the message), original: the earliest turn that says the passage."""
+def link(messages: DataFrame, least: int = LEAST) -> DataFrame:
+    """conv_id, turn, depth, n (passage of the message), original: the earliest turn that says the passage. Passages of
+    under `least` characters link nothing."""
     asked = messages.where("size(quoted) > 0 and conv_id is not null and turn is not null")
     asked = asked.select("conv_id", "turn", F.posexplode("quoted").alias("n", "passage"))
     asked = asked.select("conv_id", "turn", "n", F.col("passage.depth").alias("depth"), F.filter("passage.bodies", lambda b: F.trim(b) != "").alias("bodies"))
     whole = asked.select("conv_id", "turn", "n", "depth", F.lit(0).alias("rank"), _hash(F.array_join("bodies", " ")).alias("h"), F.array_join("bodies", " ").alias("t"))
     each = asked.select("conv_id", "turn", "n", "depth", F.lit(1).alias("rank"), F.explode("bodies").alias("t")).withColumn("h", _hash(F.col("t")))
-    asked = written(whole.unionByName(each).where(F.length(_normal(F.col("t"))) >= LEAST).drop("t"), "quoted")
+    asked = written(whole.unionByName(each).where(F.length(_normal(F.col("t"))) >= least).drop("t"), "quoted")
     talking = asked.select("conv_id").distinct()
     said = messages.where("conv_id is not null and turn is not null").join(talking, "conv_id", "left_semi")
     parts = F.concat(F.array("content"), F.split("content", r"\n[ \t]*\n"), F.split("content", r"\n"))
-    said = said.select("conv_id", "turn", F.explode(F.array_distinct(parts)).alias("t")).where(F.length(_normal(F.col("t"))) >= LEAST)
+    said = said.select("conv_id", "turn", F.explode(F.array_distinct(parts)).alias("t")).where(F.length(_normal(F.col("t"))) >= least)
     first = written(said.select("conv_id", "turn", _hash(F.col("t")).alias("h")).groupBy("conv_id", "h").agg(F.min("turn").alias("original")), "said")
     found = asked.join(first, ["conv_id", "h"]).where("original < turn")
     return found.groupBy("conv_id", "turn", "n", "depth").agg(F.max_by("original", F.struct(-F.col("rank"), F.col("original"))).alias("original"))
@@ -104,10 +100,10 @@ def threads(links: DataFrame) -> DataFrame:
         now = written(joined.select("conv_id", "turn", "parent", F.coalesce("higher", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "threads")
 
 
-def chats(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def chats(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", least: int = LEAST) -> DataFrame:
     """conv_id, position, turn, role, content, parent_turn, thread_turn, reply_depth, n_quoted, n_linked."""
     messages = written(parsed(conversations, conv, turn, role, text), "messages")
-    links = written(link(messages), "links")
+    links = written(link(messages, least), "links")
     linked = links.groupBy("conv_id", "turn").agg(F.count("*").alias("n_linked"))
     placed = written(threads(links).join(linked, ["conv_id", "turn"]), "linked")
     rows = messages.join(placed, ["conv_id", "turn"], "left").select(

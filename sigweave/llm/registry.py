@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe, chat_quotes, decontamination, exact_dedup, hard_negatives, line_dedup, packing, quality, simhash, spelling, substring_dedup, url_filter, warc_fixity
@@ -22,6 +22,16 @@ def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_quotes.chats(table(spark, sf_dir, "conversations"))
 
 
+def chat_reply_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose turns quote: two of three the turn before, and one of these also that before it, two deep."""
+    rows, by_turn = table(spark, sf_dir, "conversations"), Window.partitionBy("conv_id").orderBy("turn")
+    own = F.coalesce("text", F.lit(""))
+    rows = rows.select("conv_id", "turn", "role", own.alias("own"), F.lag(own).over(by_turn).alias("one"), F.lag(own, 2).over(by_turn).alias("two"))
+    quoted = lambda c, mark: F.array_join(F.transform(F.split(c, "\n"), lambda x: F.concat(F.lit(mark), x)), "\n")
+    parts = F.array(F.when(F.col("turn") % 3 == 2, quoted("two", ">> ")), F.when(F.col("turn") % 3 > 0, quoted("one", "> ")), F.col("own"))
+    return chat_quotes.chats(rows.select("conv_id", "turn", "role", F.array_join(parts, "\n").alias("text")))
+
+
 def op3_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -82,7 +92,7 @@ def op13_full_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit, op11_dual_trees, op12_rank_arrays, op13_full_neighbourhoods]
+    own = [chat_reply_threads, op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit, op11_dual_trees, op12_rank_arrays, op13_full_neighbourhoods]
     return {f.__name__: f for f in own}
 
 
@@ -163,7 +173,30 @@ qualify rank <= 10
 """
 
 
+_NORMAL = r"trim(regexp_replace(lower({}), '\s+', ' ', 'g'))"
+ORACLE_REPLIES = rf"""
+with recursive m as (
+  select conv_id, turn, role, coalesce(text, '') as own, lag(own) over w as one, lag(own, 2) over w as two from conversations window w as (partition by conv_id order by turn)
+), c as (
+  select *, turn % 3 > 0 and one is not null as first_deep, turn % 3 = 2 and two is not null as second_deep,
+    case when first_deep or second_deep then regexp_replace(regexp_replace(own, '\n{{3,}}', chr(10) || chr(10), 'g'), '^\n+|\n+$', '', 'g') else own end as content from m
+), parts as (
+  select conv_id, turn, unnest(list_concat([content], regexp_split_to_array(content, '\n[ \t]*\n'), string_split(content, chr(10)))) as part from c
+), said as (select conv_id, {_NORMAL.format('part')} as k, min(turn) as original from parts where length({_NORMAL.format('part')}) >= 12 group by 1, 2),
+asked as (
+  select conv_id, turn, 1 as deep, {_NORMAL.format('one')} as k from c where first_deep
+  union all select conv_id, turn, 2, {_NORMAL.format('two')} from c where second_deep
+), found as (select a.conv_id, a.turn, deep, original from asked a join said s on a.conv_id = s.conv_id and a.k = s.k and original < a.turn),
+p as (select conv_id, turn, original as parent from found where deep = 1),
+r as (select conv_id, turn, parent as root, 1 as depth from p union all select r.conv_id, r.turn, p.parent, depth + 1 from r join p on p.conv_id = r.conv_id and p.turn = r.root),
+top as (select conv_id, turn, min(root) as root, max(depth) as depth from r group by 1, 2), linked as (select conv_id, turn, count(*) as n from found group by 1, 2)
+select c.conv_id, row_number() over (partition by c.conv_id order by coalesce(root, c.turn), c.turn) - 1 as position, c.turn, role, content, parent as parent_turn, coalesce(root, c.turn) as thread_turn,
+  cast(coalesce(depth, 0) as bigint) as reply_depth, cast(first_deep as bigint) + cast(second_deep as bigint) as n_quoted, coalesce(n, 0) as n_linked
+from c left join p using (conv_id, turn) left join top using (conv_id, turn) left join linked using (conv_id, turn)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the others SQL has no words; tests/llm holds them against brute force. op2's holds as long as no
     message quotes another, as in the given tables; its tests have quotes."""
-    return {"op2_quotation_links": ORACLE_CHATS, "op3_chunk_recipes": ORACLE_EXACT, "op8_url_digests": ORACLE_URLS, "op10_merkle_audit": ORACLE_WARC, "op11_dual_trees": ORACLE_NEGATIVES}
+    return {"chat_reply_threads": ORACLE_REPLIES, "op2_quotation_links": ORACLE_CHATS, "op3_chunk_recipes": ORACLE_EXACT, "op8_url_digests": ORACLE_URLS, "op10_merkle_audit": ORACLE_WARC, "op11_dual_trees": ORACLE_NEGATIVES}

@@ -1,7 +1,9 @@
 import random
 import re
+import time
 from collections import defaultdict
 
+from pyspark.sql import functions as F
 
 from sigweave.llm import chat_quotes
 
@@ -115,3 +117,21 @@ def test_repeats_and_no_rows(spark):
 def test_no_python(spark):
     plan = chat_quotes.parsed(table(spark, threads(1)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_long_quotes_are_linear(spark):
+    """A message of 100,000 quoted lines, of one depth and of depths in turn: some seconds each."""
+    texts = ["\n".join(f"> line {k} of many" for k in range(100_000)), "\n".join(f"{'>' * (1 + k % 3)} line {k} of many" for k in range(100_000))]
+    for text, runs in zip(texts, (1, 100_000), strict=True):
+        began = time.time()
+        got = chat_quotes.parsed(table(spark, [(1, 0, "a", text)])).select(F.size("quoted").alias("n"), F.col("quoted")[0]["bodies"].alias("first"), F.aggregate("quoted", F.lit(0), lambda n, p: n + F.size(p["bodies"])).alias("lines")).first()
+        assert (got.n, got.lines) == (runs, 100_000) and got.first[0] == "line 0 of many"
+        assert time.time() - began < 60
+
+
+def test_short_passages_link_if_asked_to(spark):
+    long_name = "Somebody whose name is long " * 20
+    rows = [(1, 0, "a", "Yes."), (1, 1, "b", f"{long_name} wrote:\n> Yes.\nNo."), (1, 2, "c", "> No.\nWell.")]
+    parents = lambda least: [r.parent_turn for r in sorted(chat_quotes.chats(table(spark, rows), least=least).collect(), key=lambda r: r.turn)]
+    assert parents(1) == [None, 0, 1] and parents(12) == [None, None, None]
+    assert {r.content for r in chat_quotes.chats(table(spark, rows)).collect()} == {"Yes.", "No.", "Well."}

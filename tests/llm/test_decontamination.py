@@ -156,7 +156,7 @@ def test_tails_of_items_at_the_ends_of_a_text():
 def test_mapped_block_is_the_same(tmp_path):
     """A block read back from its file, also an empty one and one of short items only, finds what it found."""
     rows, items = cases(7)
-    for some in (items, [], [(1, "ab"), (None, "xyz")]):
+    for some in ([(i, t or "") for i, t in items], [], [(1, "ab"), (None, "xyz")]):
         known = dc.Benchmark(some)
         known.write(f"{tmp_path}/block")
         again = dc.Benchmark.mapped(f"{tmp_path}/block")
