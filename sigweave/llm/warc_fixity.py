@@ -3,7 +3,7 @@
 Pages are serialised as WARC records and laid out one after the other in archives: those that a column names, else of
 FANOUT ** LEVELS records each.
 A leaf is the hash of a record's offset range and hash; a node is the hash of its FANOUT children in offset order, with
-their ranges, up to one root an archive. Two replicas, each with a layout of its own, are compared from their roots;
+their ranges; levels are added until the largest archive of either replica has one root. Two replicas, each with a layout of its own, are compared from their roots;
 only the children of nodes that differ or lack a partner are compared on the next level, down to the records. Places that
 differ are told apart by what lies there: a record that the other replica has elsewhere in the archive is moved, one of
 the same id and url but other content is corrupt, else it is missing or extra.
@@ -15,11 +15,14 @@ null html is an empty body, a null url an empty target, a null id comes first; a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pick, written
 
+#: Children of a node; levels of the trees of archives that no column names, which bounds their records.
 FANOUT, LEVELS = 16, 3
 
 
@@ -72,17 +75,28 @@ def _in_archives(rows: DataFrame, order: list[str]) -> DataFrame:
     return placed.select("page_id", "url", "archive", seq.alias("seq"), offset.alias("offset"), "length", "copies", "sha256", "replica_sha256")
 
 
-def nodes(leaves: DataFrame, digest: str) -> list[DataFrame]:
-    """Levels of the trees, leaves first: archive, node, offset, length, digest."""
+def levels(*layouts: DataFrame) -> int:
+    """Levels above the leaves until each archive has one node."""
+    last = max([0, *[x.agg(F.max("seq")).first()[0] or 0 for x in layouts]])
+    up = 1
+    while last >= FANOUT**up:
+        up += 1
+    return up
+
+
+def nodes(leaves: DataFrame, digest: str, up: int | None = None, keep: Callable[[DataFrame], DataFrame] = lambda level: level) -> list[DataFrame]:
+    """Levels of the trees, leaves first: archive, node, offset, length, digest. up: levels above the leaves. keep: what is
+    done to a level before the next is made from it."""
     text = F.concat_ws(":", F.col("offset").cast("string"), F.col("length").cast("string"), F.col(digest))
     level = leaves.select("archive", F.col("seq").alias("node"), "offset", "length", F.sha2(text, 256).alias("digest"))
     out = [level]
-    for _ in range(LEVELS):
+    for _ in range(up or levels(leaves)):
         child = F.struct("offset", "length", "digest")
         level = level.groupBy("archive", F.floor(F.col("node") / FANOUT).cast("int").alias("node")).agg(F.sort_array(F.collect_list(child)).alias("children"))
         text = F.array_join(F.transform("children", lambda c: F.concat_ws(":", c["offset"].cast("string"), c["length"].cast("string"), c["digest"])), "\n")
         total = F.aggregate("children", F.lit(0).cast("long"), lambda a, c: a + c["length"])
         level = level.select("archive", "node", F.col("children")[0]["offset"].alias("offset"), total.alias("length"), F.sha2(text, 256).alias("digest"))
+        level = keep(level)
         out.append(level)
     return out
 
@@ -101,9 +115,8 @@ def corrupt(one: list[DataFrame], two: list[DataFrame]) -> DataFrame:
     return suspects.withColumnRenamed("node", "seq")
 
 
-def _tree(leaves: DataFrame, digest: str) -> list[DataFrame]:
-    levels = nodes(leaves, digest)
-    return [levels[0], *[written(x, "nodes") for x in levels[1:]]]
+def _tree(leaves: DataFrame, digest: str, up: int) -> list[DataFrame]:
+    return nodes(leaves, digest, up, lambda level: written(level, "nodes"))
 
 
 def _paired(mine: DataFrame, theirs: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -132,10 +145,12 @@ def audit(leaves: DataFrame, replica: DataFrame | None = None) -> DataFrame:
     status is also moved (elsewhere in the archive), missing (the replica has no such record) or extra (only it has)."""
     if replica is None:
         leaves = written(leaves, "leaves")
-        bad = corrupt(_tree(leaves, "sha256"), _tree(leaves, "replica_sha256")).withColumn("bad", F.lit(True))
+        up = levels(leaves)
+        bad = corrupt(_tree(leaves, "sha256", up), _tree(leaves, "replica_sha256", up)).withColumn("bad", F.lit(True))
         return leaves.join(bad, ["archive", "seq"], "left").withColumn("status", F.when(F.col("bad"), "corrupt").otherwise("ok")).drop("bad")
     mine, other = written(leaves.select(_PLACE), "leaves"), written(replica.select(_PLACE), "leaves")
-    bad = corrupt(_tree(mine, "sha256"), _tree(other, "sha256"))
+    up = levels(mine, other)
+    bad = corrupt(_tree(mine, "sha256", up), _tree(other, "sha256", up))
     theirs = other.select(*[F.col(c).alias(f"replica_{c}") for c in _PLACE])
     ok = _paired(mine.join(bad, ["archive", "seq"], "left_anti").select(_PLACE), theirs, ["archive", "seq"])[0].withColumn("status", F.lit("ok"))
     left = written(mine.join(bad, ["archive", "seq"], "left_semi").select(_PLACE), "suspects")

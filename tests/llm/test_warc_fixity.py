@@ -113,3 +113,16 @@ def test_large_archive_and_awkward_records(spark, monkeypatch):
     got = [r for r in warc_fixity.audit(frame(rows), frame(changed)).collect() if r.status in ("corrupt", "missing", "extra")]
     assert {(r.page_id, r.url) for r in got} == {(7, "u"), (None, None)} and len(got) <= 3
     assert hashlib.sha256(warc(None, "u\r\nX: y", "z")).hexdigest() in {r.sha256 for r in same}
+
+
+def test_one_root_whatever_the_size(spark):
+    """An archive of 9,000 records beside one of a single record: one root each, and a root that is equal ends the search."""
+    rows = spark.range(9001).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("body "), "id").alias("html"))
+    lay = lambda r: warc_fixity.layout(r, archive=F.when(F.col("page_id") == 9000, 2).otherwise(1))
+    leaves = lay(rows)
+    top = warc_fixity.nodes(leaves, "sha256")[-1].collect()
+    assert sorted((r.archive, r.node) for r in top) == [(1, 0), (2, 0)]
+    assert warc_fixity.levels(leaves) == 4 and warc_fixity.levels(leaves.where("archive = 2")) == 1
+    changed = lay(rows.withColumn("html", F.when(F.col("page_id").isin(0, 4096, 8999, 9000), F.concat(F.lit("#"), F.substring("html", 2, 99))).otherwise(F.col("html"))))
+    got = warc_fixity.audit(leaves, changed)
+    assert sorted((r.page_id, r.status) for r in got.where("status <> 'ok'").collect()) == [(i, "corrupt") for i in (0, 4096, 8999, 9000)] and got.count() == 9001
