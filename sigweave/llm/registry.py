@@ -60,6 +60,14 @@ def op8_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def url_blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages against a blocklist of the hosts of one of three pages, each cut at its first label and as it is."""
+    pages = table(spark, sf_dir, "pages")
+    host = F.expr("lower(regexp_extract(url, '://([^/?#]*)', 1))")
+    listed = pages.where("page_id % 3 = 0").select(F.explode(F.array(host, F.when(F.col("page_id") % 2 == 0, F.regexp_replace(host, r"^[^.]*\.", "")))).alias("host"))
+    return url_filter.judge_urls(pages, rules=[], blocked=[], blocklist=listed).select("page_id", "host", "verdict")
+
+
 def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -92,7 +100,7 @@ def op13_full_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [chat_reply_threads, op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, op9_histogram_packing, op10_merkle_audit, op11_dual_trees, op12_rank_arrays, op13_full_neighbourhoods]
+    own = [chat_reply_threads, op1_deletion_lines, op2_quotation_links, op3_chunk_recipes, op4_simhash_blocks, op5_qgram_bands, op6_attention_quality, op7_lempel_ziv, op8_url_digests, url_blocklist, op9_histogram_packing, op10_merkle_audit, op11_dual_trees, op12_rank_arrays, op13_full_neighbourhoods]
     return {f.__name__: f for f in own}
 
 
@@ -122,6 +130,12 @@ select page_id, host, path, rule, case
 from ruled
 """
 
+ORACLE_BLOCKLIST = r"""
+with p as (select page_id, case when instr(url, '://') > 0 then translate(regexp_replace(substr(url, instr(url, '://') + 3), '[/?#][\s\S]*$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end as host from pages),
+b as (select distinct unnest([host, case when page_id % 2 = 0 then regexp_replace(host, '^[^.]*\.', '') end]) as bad from p where page_id % 3 = 0)
+select page_id, host, case when exists (select 1 from b where bad <> '' and (host = bad or host like '%.' || bad)) then 'block' else 'allow' end as verdict from p
+"""
+
 ORACLE_EXACT = r"""
 with t as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents),
 g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from t group by 1)
@@ -199,4 +213,4 @@ from c left join p using (conv_id, turn) left join top using (conv_id, turn) lef
 def oracle_sql() -> dict[str, str]:
     """For the others SQL has no words; tests/llm holds them against brute force. op2's holds as long as no
     message quotes another, as in the given tables; its tests have quotes."""
-    return {"chat_reply_threads": ORACLE_REPLIES, "op2_quotation_links": ORACLE_CHATS, "op3_chunk_recipes": ORACLE_EXACT, "op8_url_digests": ORACLE_URLS, "op10_merkle_audit": ORACLE_WARC, "op11_dual_trees": ORACLE_NEGATIVES}
+    return {"chat_reply_threads": ORACLE_REPLIES, "op2_quotation_links": ORACLE_CHATS, "op3_chunk_recipes": ORACLE_EXACT, "op8_url_digests": ORACLE_URLS, "url_blocklist": ORACLE_BLOCKLIST, "op10_merkle_audit": ORACLE_WARC, "op11_dual_trees": ORACLE_NEGATIVES}

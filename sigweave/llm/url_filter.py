@@ -12,22 +12,18 @@ empty host and path, no rule, and is allowed; rows that repeat stay.
 
 from __future__ import annotations
 
-import atexit
-import hashlib
-import os
 import re
-import shutil
-import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import pick, sent_file
 
 #: The rules of production.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -99,8 +95,11 @@ def judge_urls(
             raise ValueError(f"the blocklist has {n} hosts or more; `most` allows {most}")
         keys |= {f"host {r['host']}": 0 for r in hosts.toLocalIterator()}
     lengths = sorted({len(path) for _, path, _ in rules})
-    listed = blocklist is not None
-    name = _share(pages.sparkSession, DigestArray.build(keys))
+    # a part of a host can only be known if a key has its length: what is probed grows with a url, not with its square
+    ruled, listed, named = {len(host) for host, _, _ in rules}, {len(k) - 5 for k in keys if k.startswith("host ")}, {len(b) for b in blocked}
+    longest = max([0, *ruled, *listed])
+    content = DigestArray.build(keys)
+    name = sent_file(pages.sparkSession, "digests", lambda path: Path(path).write_bytes(content))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _maps:
@@ -110,22 +109,27 @@ def judge_urls(
             split = [split_url(u) for u in batch.column("url").to_pylist()]
             row, size, probes = [], [], []
             for i, (host, path) in enumerate(split):
-                at = 0
-                while host and at >= 0:
-                    suffix = host[at:]
-                    for n in lengths:
-                        if n <= len(path):
-                            row.append(i)
-                            size.append((len(suffix) + n) << 32 | len(suffix))
-                            probes.append(f"rule {suffix}{path[:n]}")
-                    row.append(i)
-                    size.append(-1)
-                    probes.append(f"name {suffix.split('.', 1)[0]}")
-                    if listed:
+                if not host:
+                    continue
+                for label in host.split("."):
+                    if len(label) in named:
+                        row.append(i)
+                        size.append(-1)
+                        probes.append(f"name {label}")
+                at = len(host)
+                while at >= 0 and len(host) - at <= longest:  # from the last label on
+                    at = host.rfind(".", 0, at)
+                    suffix = host[at + 1 :] if len(host) - at - 1 <= longest else ""
+                    if len(suffix) in ruled:
+                        for n in lengths:
+                            if n <= len(path):
+                                row.append(i)
+                                size.append((len(suffix) + n) << 32 | len(suffix))
+                                probes.append(f"rule {suffix}{path[:n]}")
+                    if len(suffix) in listed:
                         row.append(i)
                         size.append(-1)
                         probes.append(f"host {suffix}")
-                    at = host.find(".", at) + 1 or -1
             found = array.find(probes)
             best: dict[int, tuple[int, int]] = {}
             names: set[int] = set()
@@ -148,16 +152,3 @@ def judge_urls(
 
     rows = pick(pages, page_id=id_col, url=url_col).select(F.col("page_id").cast("long"), F.col("url").cast("string"))
     return rows.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
-
-
-def _share(spark: SparkSession, content: bytes) -> str:
-    """Sends a file to all executors, those to come too; its name tells its content."""
-    name = f"digests-{hashlib.sha256(content).hexdigest()[:24]}.bin"
-    if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
-        folder = tempfile.mkdtemp(prefix="sigweave-")  # the driver's own: executors fetch the file from the driver
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        path = os.path.join(folder, name)
-        with open(path, "wb") as out:
-            out.write(content)
-        spark.sparkContext.addFile(path)
-    return name

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -40,6 +41,17 @@ def test_collisions_are_told_apart(tmp_path):
     assert array.find(["ab", "aa", "zz", "c", "d", ""], same).tolist() == [2, 1, -1, 3, -1, -1]
 
 
+def test_host_of_many_labels(spark):
+    """200,000 labels: what is probed is linear."""
+    urls = ["http://" + "a." * 200_000 + "example.net/en/x", "http://" + "spam-farm." * 20_000 + "q/", "http://" + "a." * 100_000 + "evil.com/", "http://..org/fr/", "http://.../"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    hosts = spark.createDataFrame([("evil.com",)], "host string")
+    began = time.time()
+    got = [(r.rule, r.verdict) for r in sorted(url_filter.judge_urls(frame, blocklist=hosts).collect())]
+    assert got == [("example.net/en/", "allow"), (None, "block"), (None, "block"), ("org/fr/", "allow"), (None, "allow")]
+    assert time.time() - began < 60
+
+
 def test_no_rules_and_no_rows(spark):
     frame = spark.createDataFrame([(None, "http://spam-farm.org/fr/")], "page_id long, url string")
     assert url_filter.judge_urls(frame, rules=[], blocked=[]).first().verdict == "allow"
