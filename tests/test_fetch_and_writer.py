@@ -155,3 +155,99 @@ def test_state_files(spark, tmp_path):
     (tmp_path / "state.json").write_text("no state")
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         state.read_json(spark, file).collect()
+
+
+def test_urls_spread_over_tasks_and_once_each(spark):
+    """Urls of 64 hosts over at least as many tasks as there are cores; repeats and nulls go."""
+
+    def sends():
+        from pyspark import TaskContext
+
+        here = str(TaskContext.get().partitionId())
+        return [lambda url, headers, timeout: Reply(200, {"etag": "task " + here, "last-modified": headers.get("if-none-match", "")}, [url.encode()])]
+
+    rows = spark.range(2000).select(F.concat(F.lit("https://h"), (F.col("id") % 64).cast("string"), F.lit(".com/"), (F.col("id") % 1500).cast("string")).alias("url")).union(spark.createDataFrame([(None,)], "url string"))
+    known = spark.createDataFrame([("https://h1.com/1", "old", None), ("https://h2.com/2", None, "Tue"), (None, "x", "x")], "url string, etag string, last_modified string")
+    out = fetch.fetched(rows, sends, lambda name: ["93.184.216.34"], sleep=lambda s: None, known=known, tasks=8).collect()
+    want = {f"https://h{i % 64}.com/{i % 1500}" for i in range(2000)}
+    assert len(out) == len(want) and {r.url for r in out} == want and all(bytes(r.body).decode() == r.url for r in out)
+    assert len({r.etag for r in out}) >= 4
+    tasks = {}
+    for r in out:
+        tasks.setdefault(r.url.split("/")[2], set()).add(r.etag)
+    assert all(len(t) == 1 for t in tasks.values())
+    assert {r.url: r.last_modified for r in out if r.last_modified} == {"https://h1.com/1": "old"}
+
+
+def test_a_dripping_reply_ends_at_the_deadline():
+    now = [0.0]
+
+    def drip():
+        while True:
+            now[0] += 1.5
+            yield b"x"
+
+    closed = []
+    send = lambda url, headers, timeout: Reply(302, {"location": "/drip"}, (), lambda: closed.append(url)) if url.endswith("/") else Reply(200, {}, drip(), lambda: closed.append(url))
+    row = fetch.one("https://a.com/", [send], addresses, retries=0, clock=lambda: now[0])
+    assert row[7] == "timeout" and 20 <= now[0] < 22 and closed == ["https://a.com/", "https://a.com/drip"]
+
+
+def test_each_hosts_pace_is_held():
+    now, sent = [0.0], []
+
+    def sleep(s):
+        now[0] += s
+
+    hold = fetch.Pace(2.0, sleep, lambda: now[0])
+    send = hold(lambda url, headers, timeout: sent.append((url, now[0])) or Reply(200))
+    for url in ["https://a.com/1", "https://a.com/2", "https://c.com/1", "https://a.com/3"]:
+        send(url, {}, 1)
+    at = dict(sent)
+    assert at["https://a.com/2"] - at["https://a.com/1"] >= 2 and at["https://a.com/3"] - at["https://a.com/2"] >= 2 and at["https://c.com/1"] == at["https://a.com/2"]
+
+
+def test_over_a_socket():
+    """A server of this machine: a reply in drips, a redirect, an error with a body, the agent's name."""
+    import http.server
+    import threading
+
+    seen = []
+
+    class Server(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            seen.append(self.headers["user-agent"])
+            if self.path == "/moved":
+                self.send_response(302)
+                self.send_header("location", "/page")
+                self.end_headers()
+            elif self.path == "/drip":
+                self.send_response(200)
+                self.end_headers()
+                try:
+                    for _ in range(100):
+                        self.wfile.write(b"x")
+                        self.wfile.flush()
+                        time.sleep(0.1)
+                except OSError:
+                    pass
+            else:
+                self.send_response(200 if self.path == "/page" else 403)
+                self.end_headers()
+                self.wfile.write(b"body")
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://local.test:{server.server_port}"
+    plain = fetch.direct()
+    here = lambda url, headers, timeout: plain(url.replace("local.test", "127.0.0.1"), headers, timeout)
+    ask = lambda path, timeout=5.0: fetch.one(at + path, [here], lambda name: ["93.184.216.34"], retries=0, timeout=timeout)
+    assert ask("/moved")[1:5] == (b"body", None, 200, f"{at}/page")
+    assert ask("/no")[3] == 403 and ask("/no")[7] == "permanent_http"
+    began = time.time()
+    assert ask("/drip", 1.0)[7] == "timeout" and time.time() - began < 3
+    assert set(seen) == {fetch.AGENT}
+    server.shutdown()
