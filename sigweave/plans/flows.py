@@ -21,8 +21,9 @@ def enriched(rows: DataFrame, fetched: DataFrame, kind: str = "web-scraper") ->
 
 
 def collected(rows: DataFrame, state: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
-    """The rows (source_slug, external_id, link, title, seq, ...) that no run has seen, and the state after them.
-    Rows without id, link and title go; of a key's rows the first stays."""
+    """The rows (source_slug, external_id, link, title, seq, ...) that no run has seen, with canonical links, and the state
+    after them. Rows without id, link and title go; of a key's rows the first stays."""
+    rows = rows.withColumn("link", F.coalesce(urls.canonical_url(F.col("link")), F.col("link")))
     keyed = rows.withColumn("dedup_key", urls.dedup_key(F.col("external_id"), F.col("link"), F.col("title")))
     fresh = dedup.new_rows(keyed, state, ["seq"])
     return fresh, dedup.next_state(state, fresh, as_of)

@@ -1,5 +1,7 @@
 """Schemas of the snapshot files and of the source dimension."""
 
+from pyspark.sql import DataFrame, SparkSession
+
 SIGNAL = """externalId string, url string, title string, summary string, author string, language string, publishedAt string, category string, tags array<string>,
 metrics struct<platforms: array<string>>, rawMeta struct<adapter: string, source: string, type: string, dateInferred: boolean, dataSource: string, datasetId: string>,
 sourceSlug string, sourceName string"""
@@ -28,3 +30,30 @@ SOURCES = [
     ("kompas-otomotif", "web-scraper", "id", "culture", "https://otomotif.kompas.com/", 65, False),
 ]
 SOURCE = "source_slug string, adapter string, language string, category string, url string, authority int, is_primary boolean"
+
+# The names of the sources.
+NAMES = {
+    "motogp-news": "MotoGP 官方新闻",
+    "worldsbk-news": "WorldSBK 官方新闻",
+    "speedweek-motogp": "SPEEDWEEK.com（MotoGP 板块）",
+    "lta-coe-motorcycle": "新加坡 LTA COE 摩托车类别（Category D）投标结果",
+    "boon-siew-honda": "Boon Siew Honda",
+    "modenas-emos": "MODENAS/EMOS（马来西亚 Kawasaki 官方总代理）",
+    "mah-pte-ltd": "Mah Pte Ltd（新加坡 Kawasaki 等六品牌独家代理）",
+    "rideapart": "RideApart",
+    "cycleworld": "Cycle World",
+    "visordown": "Visordown",
+    "honda-global-news": "Honda Global 摩托车新闻室",
+    "yamaha-global-news": "Yamaha Motor Global News Center",
+    "lianglunshijie-industry": "两轮视界·行业数据",
+    "eicma": "EICMA（米兰国际两轮车展）",
+    "bangkok-motor-show": "Bangkok International Motor Show",
+    "kompas-otomotif": "Kompas.com Otomotif",
+}
+# Homepages that are not the address itself.
+HOMEPAGES = {"rideapart": "https://www.rideapart.com/"}
+
+
+def sources(spark: SparkSession) -> DataFrame:
+    """The dimension with source_name and homepage_url."""
+    return spark.createDataFrame([(*s, NAMES[s[0]], HOMEPAGES.get(s[0], s[4])) for s in SOURCES], f"{SOURCE}, source_name string, homepage_url string")
