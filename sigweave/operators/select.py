@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 
 def best_per(rows: DataFrame, group: str, score: str, seq: str = "seq") -> DataFrame:
     """The row with the highest score of each group; the earliest of equals."""
@@ -52,3 +54,15 @@ def by_index(items: DataFrame, rows: DataFrame, key: str = "index") -> DataFrame
     """Written items with the collected row of their index; the last item of an index wins; rows without one go."""
     last = items.groupBy(key).agg(F.max_by(F.struct(*[c for c in items.columns if c != key]), "pos").alias("item"))
     return rows.join(last, key).select(*rows.columns, "item.*")
+
+
+def numbered(rows: DataFrame, group: str, order: str = "seq", name: str = "index") -> DataFrame:
+    """rows with their place in the group's order, from 1. Rows are dealt by ranges of (group, order), numbered in their
+    range, and moved on by the counts of the ranges before: no group has to be in one task. order: distinct in a group."""
+    dealt = stored(rows.repartitionByRange(group, order).withColumn("_part", F.spark_partition_id()), "numbered")
+    counts = dealt.groupBy(group, "_part").agg(F.count("*").alias("_n"))  # a row for each range and group
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col(group).alias("_group"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy(group, "_part").orderBy(order))
+    placed = dealt.withColumn("_here", here).join(starts, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_p")))
+    return placed.withColumn(name, (F.col("_before") + F.col("_here")).cast("int")).drop("_part", "_group", "_p", "_before", "_here")

@@ -39,9 +39,8 @@ def marked(rows: DataFrame, n: int = 3) -> DataFrame:
 
 def day(signals: DataFrame, as_of: Column, context: DataFrame | None = None) -> DataFrame:
     """Signals of a day (as of sources.snapshots, with day) as scored rows with index, source_name, is_top and
-    is_leader. Index counts the day's rows from 1; a day is one document, so one task may order it."""
-    order = Window.partitionBy("day").orderBy("seq")
-    rows = marked(score.scored(signals, as_of, context)).withColumn("index", F.row_number().over(order))
+    is_leader. Index counts the day's rows from 1."""
+    rows = select.numbered(marked(score.scored(signals, as_of, context)), "day")
     return rows.withColumnRenamed("sourceName", "source_name")
 
 

@@ -110,6 +110,33 @@ def feed_items(spark, sf):
     return got.select(F.regexp_extract("url", r"f(\d+)", 1).cast("long").alias("c_custkey"), "pos", "title", "link", "external_id", "summary", "inferred")
 
 
+#: By c_custkey % 8: RSS of two items, Atom of one entry with two links, one item, an item told of in CDATA, both roots' children in
+#: one, a document of another root, an entity that only HTML knows, and entries in a channel.
+FEEDS = [
+    """<?xml version="1.0"?><!-- feed --><rss version="2.0"><channel><title>t</title><item><title>One {id}</title><link>/1/{id}</link></item><item><title>Two {id}</title><link>/2/{id}</link><guid isPermaLink="false">g{id}</guid></item></channel></rss>""",
+    """<feed xmlns="http://www.w3.org/2005/Atom"><title>t</title><entry><title type="html">Atom {id} &amp; more</title><link rel="self" href="/self/{id}"/><link rel="alternate" href="/a/{id}"/><id>urn:{id}</id></entry></feed>""",
+    """<rss><channel><item><title>Alone {id}</title><link>https://x.com/{id}</link></item></channel></rss>""",
+    """<rss><channel><item><title>Outer {id}</title><link>/o/{id}</link><description><![CDATA[<item><title>Inner</title><link>/i</link></item> of {id}]]></description></item></channel></rss>""",
+    """<rss><channel><item><title>Of rss {id}</title><link>/r/{id}</link></item></channel><feed><entry><title>Of feed</title><link>/f</link></entry></feed></rss>""",
+    """<list><item><title>No feed {id}</title><link>/n/{id}</link></item></list>""",
+    """<rss><channel><item><title>Torn&nbsp;{id}</title></item><item><title>Whole {id}</title><link>/w/{id}</link></item></channel></rss>""",
+    """<rss><channel><entry><title>No item {id}</title><link>/e/{id}</link></entry></channel></rss>""",
+]
+
+
+@query(
+    """with r(k, pos, title, link, id) as (values (0, 0, 'One ', '/1/', null), (0, 1, 'Two ', '/2/', 'g'), (1, 0, 'Atom ', '/a/', 'urn:'), (2, 0, 'Alone ', 'https://x.com/', null), (3, 0, 'Outer ', '/o/', null), (4, 0, 'Of rss ', '/r/', null), (6, 1, 'Whole ', '/w/', null))
+    select c_custkey, cast(pos as integer) as pos, title || c_custkey || case when k = 1 then ' & more' else '' end as title, case when link like '/%' then 'https://f' || c_custkey || '.com' else '' end || link || c_custkey as link,
+      case when id is null then case when link like '/%' then 'https://f' || c_custkey || '.com' else '' end || link || c_custkey else id || c_custkey end as external_id from customer join r on k = c_custkey % 8"""
+)
+def feed_structure(spark, sf):
+    """Feeds by their root: rss.channel.item, else feed.entry."""
+    body = F.replace(_one_of(FEEDS, F.col("c_custkey")), F.lit("{id}"), F.col("c_custkey").cast("string"))
+    bodies = t(spark, sf, "customer").select(F.concat(F.lit("https://f"), F.col("c_custkey").cast("string"), F.lit(".com/")).alias("url"), body.alias("body"))
+    got = feeds.signals(bodies, F.lit(AS_OF).cast("timestamp"))
+    return got.select(F.regexp_extract("url", r"f(\d+)", 1).cast("long").alias("c_custkey"), "pos", "title", "link", "external_id")
+
+
 @query(
     """select c_custkey, 'lta-coe-2024-02-2' as external_id, '新加坡 COE Category D（摩托车）最新中标价：S$' || format('{:,}', 9000 + c_custkey) || '（2024-02 第2轮）' as title,
     '2024-02 第1轮：中标价 S$8,500（配额 400，收到投标 700 份，中标 390 份）；2024-02 第2轮：中标价 S$' || format('{:,}', 9000 + c_custkey) || '（配额 ' || c_custkey % 500 || '，收到投标 600 份，中标 350 份）' as summary, '2024-02-01' as day from customer"""

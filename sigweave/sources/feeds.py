@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from sigweave.functions import dates, text, urls
 
-ITEM = "title string, link array<struct<_VALUE: string, _href: string, _rel: string>>, description string, summary string, content string, pubDate string, published string, updated string, guid struct<_VALUE: string>, id string"
+_TEXTS = ("title", "description", "summary", "content", "pubDate", "published", "updated", "id")
+_FIELDS = dict.fromkeys(_TEXTS, "string") | {"link": "array<struct<_VALUE: string, _href: string, _rel: string>>", "guid": "struct<_VALUE: string>"}
+ITEM = ", ".join(f"{k} {v}" for k, v in _FIELDS.items())
 TAKE = 50
 
 
@@ -18,11 +20,27 @@ def link_of(links: Column) -> Column:
     return text.first_filled(chosen["_href"], chosen["_VALUE"])
 
 
+#: A feed's document by its root: entries are those of rss.channel, else those of feed.
+_ITEMS = "array<struct<" + ", ".join(f"{k}: {v}" for k, v in _FIELDS.items()) + ">>"
+FEED = f"channel struct<item: {_ITEMS}>, entry {_ITEMS}, broken string"
+
+
+def root_of(body: Column) -> Column:
+    """The name of a document's first element."""
+    return F.regexp_extract(body, r"^[\s\ufeff]*(?:(?:<\?[\s\S]*?\?>|<!--[\s\S]*?-->|<![A-Za-z][^>\[]*(?:\[[^\]]*\][^>]*)?>)\s*)*<([A-Za-z_][\w:.-]*)", 1)
+
+
 def items(feeds: DataFrame) -> DataFrame:
-    """url, pos and the parsed item of every entry of the feeds' bodies."""
-    bodies = F.regexp_extract_all("body", F.lit(r"(?is)(<(item|entry)[ >].*?</\2>)"), F.lit(1))
-    rows = feeds.select("url", F.posexplode(bodies).alias("pos", "xml"))
-    return rows.select("url", "pos", F.from_xml("xml", ITEM, {"mode": "PERMISSIVE"}).alias("item"))
+    """url, pos and the item of every entry of the feeds' bodies. A body that is no well-formed document, as those with
+    bare ampersands or entities of HTML, is read entry by entry."""
+    whole = F.from_xml(F.regexp_replace("body", r"^[\s\ufeff]+", ""), FEED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    rows = feeds.select("url", "body", root_of(F.col("body")).alias("root"), whole.alias("whole"))
+    rows = rows.withColumn("listed", F.when(F.col("root") == "rss", F.col("whole.channel.item")).when(F.col("root") == "feed", F.col("whole.entry")))
+    broken = F.col("whole.broken").isNotNull()
+    raw = F.when(broken, F.regexp_extract_all("body", F.lit(r"(?is)(<(item|entry)[ >].*?</\2>)"), F.lit(1)))
+    found = rows.where(~broken).select("url", F.posexplode("listed").alias("pos", "item"))
+    torn = rows.where(broken).select("url", F.posexplode(raw).alias("pos", "xml")).select("url", "pos", F.from_xml("xml", ITEM, {"mode": "PERMISSIVE"}).alias("item"))
+    return found.unionByName(torn)
 
 
 def signals(feeds: DataFrame, as_of: Column, take: int = TAKE) -> DataFrame:
