@@ -3,7 +3,7 @@ gives is written from the rules, not from the patterns that find it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigweave import schema
@@ -65,10 +65,69 @@ def page_json_ld(spark, sf):
     return _numbered(page_source.json_ld(_pages(spark, sf, [graph, one, broken]))).select("page_id", "title", "link", "date", "summary")
 
 
-@query("select page_id, 'Title of link ' || page_id as title, 'https://www.brand' || page_id || '.com/t/' || page_id as link from pages")
+#: By page_id % 6: plain; in capitals, with an entity and the page itself; the title first, which is no such link, then one
+#: whose address comes first; single quotes; a tag within other tags and a title of tags; a relative address and dots.
+LINKS = [
+    """<a href="/t/{id}" class="x" title="Title of link {id}">x</a><a href="/t/{id}" title="The same again">y</a><a href="/u/{id}" title="short">z</a><a href="/news" title="The page itself">z</a>""",
+    """<A HREF="/c/{id}" TITLE="Signs &amp; more {id}">x</A><A HREF="https://www.brand{id}.com/news" TITLE="The page again">x</A>""",
+    """<a title="Title comes first" href="/no/{id}">x</a><a rel="nofollow" href="/b/{id}" data-x="1" title="Address first {id}">x</a>""",
+    """<a href='/s/{id}' title='Single quotes {id}'>x</a>""",
+    """<div><p><a href="/d/{id}" title="<b>Deep</b> within {id}"><img src="x"></a></p></div>""",
+    """<a href="../r/./{id}?q=1#f" title="Relative one {id}">x</a><a href="mailto:a@b.c" title="No page at all">x</a>""",
+]
+
+
+@query(
+    """with r(k, title, path) as (values (0, 'Title of link ', '/t/'), (1, 'Signs & more ', '/c/'), (2, 'Address first ', '/b/'), (4, 'Deep within ', '/d/'), (5, 'Relative one ', '/r/'))
+    select page_id, title || page_id as title, 'https://www.brand' || page_id || '.com' || path || page_id || case when k = 5 then '?q=1#f' else '' end as link from pages join r on k = page_id % 6"""
+)
 def page_titled_links(spark, sf):
-    links = """<a href="/t/{id}" class="x" title="Title of link {id}">x</a><a href="/t/{id}" title="The same again">y</a><a href="/u/{id}" title="short">z</a><a href="/news" title="The page itself">z</a>"""
-    return _numbered(page_source.titled_links(_pages(spark, sf, [links]))).select("page_id", "title", "link")
+    return _numbered(page_source.titled_links(_pages(spark, sf, LINKS))).select("page_id", "title", "link")
+
+
+@query(
+    """select page_id, 'https://www.brand' || page_id || '.com/' || case page_id % 4 when 0 then 'told/' || page_id when 1 then 'x/' || page_id when 2 then 'dated/' || page_id else 'x/' || page_id end as link,
+      case page_id % 4 when 0 then 'Told by the feed ' when 2 then 'An article with a date ' else 'An article without date ' end || page_id as title, page_id % 4 not in (0, 2) as inferred from pages"""
+)
+def page_feed_override(spark, sf):
+    """A page's own feed, with a date, stands in for rows of which none has one: not where the feed has none, where a row
+    has one, or where the feed is not there."""
+    named, plain = """<link rel="alternate" type="application/rss+xml" href="/feed/{id}">""", """<article><h2>An article without date {id}</h2><a href="/x/{id}">x</a></article>"""
+    dated = """<article><h2>An article with a date {id}</h2><time datetime="2024-01-05">x</time><a href="/dated/{id}">x</a></article>"""
+    pages = _pages(spark, sf, [named + plain, named + plain, named + dated, named + plain])
+    key = F.regexp_extract("url", r"brand(\d+)", 1)
+    date = F.when(key.cast("long") % 4 != 1, F.lit("<pubDate>Tue, 02 Jan 2024 10:00:00 +0000</pubDate>")).otherwise(F.lit(""))
+    body = F.concat(F.lit("<rss><channel><item><title>Told by the feed "), key, F.lit("</title><link>/told/"), key, F.lit("</link>"), date, F.lit("</item></channel></rss>"))
+    bodies = pages.where("page_id % 4 <> 3").select(F.concat(F.regexp_replace("url", "/news$", "/feed/"), key).alias("feed_url"), body.alias("feed_body"))
+    return _numbered(page_source.signals(pages, F.lit(AS_OF).cast("timestamp"), feeds=bodies)).select("page_id", "link", "title", "inferred")
+
+
+@query("""select p_partkey, replace(replace(replace('<' || p_name || ' & "' || p_partkey || '">', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') as escaped from part""")
+def html_escape(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", text.escape_html(F.concat(F.lit("<"), "p_name", F.lit(' & "'), "p_partkey", F.lit('">'))).alias("escaped"))
+
+
+@query(
+    """select p_partkey, '<h1>' || p_name || '</h1>' || chr(10) || '<blockquote><p>Told of <strong>' || p_partkey || '</strong></p></blockquote>' || chr(10) || '<ul><li>one &lt;' || p_partkey || '&gt;</li><li>two &amp; <a href="https://x.com/' || p_partkey || '">more</a></li></ul>'
+      || chr(10) || case when p_partkey % 2 = 0 then '<h3>Part' || '</h3>' || chr(10) else '' end || '<p>A line' || chr(10) || 'and another</p>' as body from part"""
+)
+def markdown_html(spark, sf):
+    key, p = F.col("p_partkey").cast("string"), t(spark, sf, "part")
+    lines = F.concat(F.lit("# "), "p_name", F.lit("\n\n> Told of **"), key, F.lit("**\n\n- one <"), key, F.lit(">\n- two & [more](https://x.com/"), key, F.lit(")\n \n"), F.when(F.col("p_partkey") % 2 == 0, F.lit("### Part\n\n")).otherwise(F.lit("\n")), F.lit("A line\nand another\n\n"))
+    return p.select("p_partkey", markdown.html(lines).alias("body"))
+
+
+@query(
+    """select cast(row_number() over (order by n desc) as integer) as place, strftime(date '2024-01-01' + cast(7 * n as integer), '%Y-%m-%d') as monday, 'Week ' || n as title from (select s_suppkey as n from supplier where s_suppkey % 3 <> 0)"""
+)
+def weekly_index(spark, sf):
+    """Weekly documents, the newest first; files of other names are no weeks."""
+    n = F.col("s_suppkey").cast("int")
+    name = F.when(n % 3 == 0, F.concat(F.lit("notes-"), n.cast("string"), F.lit(".md"))).otherwise(F.concat(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), n * 7), "yyyy-MM-dd"), F.lit(".md")))
+    rows = t(spark, sf, "supplier").select(name.alias("filename"), F.concat(F.lit("# Week "), n.cast("string"), F.lit("\n\ntext")).alias("content"))
+    listed = markdown.weeks(rows).select("monday", "title")
+    # weeks() puts them in order; their places are those of the order
+    return listed.withColumn("place", F.row_number().over(Window.orderBy(F.col("monday").desc()))).select("place", "monday", "title")
 
 
 @query("select page_id, 'Meta title ' || page_id as title, 'https://www.brand' || page_id || '.com/' || case when page_id % 4 = 0 then 'o/' || page_id else 'news' end as link, '2024-01-05T00:00:00Z' as date from pages where page_id % 4 in (0, 1)")

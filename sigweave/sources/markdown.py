@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,13 +122,23 @@ def site(main: DataFrame, weekly: DataFrame) -> DataFrame:
 
 
 def write(rows: DataFrame, folder: str) -> int:
-    """Writes rows of name, content as files of a folder, over old ones; the number written. Documents for
-    readers are few; the driver takes a partition of them at a time."""
-    spark, n = rows.sparkSession, 0
-    for r in rows.select("name", "content").toLocalIterator():
-        at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{r['name']}")
-        out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
-        out.write(bytearray(r["content"], "utf-8"))
-        out.close()
-        n += 1
-    return n
+    """Writes rows of name, content as files of a folder, over old ones; the number written. Executors write the texts into
+    a folder on the side, one job that fails as a whole; the driver then only moves files to their names. Of rows with
+    one name the greatest content stays; a file ends with a line end; rows without name go."""
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = hadoop.Path(f"{folder}/_aside-{uuid.uuid4().hex}")
+    once = rows.where("name is not null and name <> ''").groupBy("name").agg(F.max(F.coalesce("content", F.lit(""))).alias("content"))
+    try:
+        once.select("name", F.regexp_replace("content", r"\n\z", "").alias("value")).repartition("name").write.partitionBy("name").text(aside.toString())
+        made = files.globStatus(hadoop.Path(f"{aside.toString()}/name=*/part-*"))
+        for status in made:
+            to = hadoop.Path(f"{folder}/{unquote(status.getPath().getParent().getName().removeprefix('name='))}")
+            files.mkdirs(to.getParent())
+            files.delete(to, False)
+            if not files.rename(status.getPath(), to):
+                raise OSError(f"{to} could not be written")
+        return len(made)
+    finally:
+        files.delete(aside, True)

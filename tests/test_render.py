@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from sigweave.functions import text
@@ -104,3 +105,24 @@ def test_charset(spark):
     rows = [(bytearray("汽车".encode("gbk")), "text/html; charset=GB2312"), (bytearray(b'<meta charset="gbk">' + "汽车".encode("gbk")), None), (bytearray("é".encode()), "x; charset=nope"), (bytearray(b"\xff"), None), (None, None)]
     got = [r.t for r in spark.createDataFrame(rows, "b binary, h string").select(text.decode_body("b", "h").alias("t")).collect()]
     assert got == ["汽车", '<meta charset="gbk">汽车', "é", "\ufffd", None]
+
+
+def test_site_is_written_by_executors(spark, tmp_path):
+    """Old files are replaced, odd names kept, and a task that fails leaves the folder as it was."""
+    folder = tmp_path / "site"
+    rows = spark.createDataFrame([("index.html", "one\n"), ("digests/2024-01-01 a%b=c.html", "two\nlines\n\n"), ("digests/é.html", ""), ("x", None), ("x", "more"), (None, "no"), ("", "no")], "name string, content string")
+    assert markdown.write(rows, str(folder)) == 4
+    found = lambda: {str(f.relative_to(folder)): f.read_text() for f in folder.rglob("*") if f.is_file() and not f.name.endswith(".crc")}
+    first = {"index.html": "one\n", "digests/2024-01-01 a%b=c.html": "two\nlines\n\n", "digests/é.html": "\n", "x": "more\n"}
+    assert found() == first
+
+    def fail(parts):
+        for pdf in parts:
+            yield pdf
+            raise ValueError
+
+    with pytest.raises(Exception, match="ValueError"):
+        markdown.write(spark.createDataFrame([("index.html", "new"), ("y", "new")], "name string, content string").mapInPandas(fail, "name string, content string"), str(folder))
+    assert found() == first and not list(folder.glob("_aside*"))
+    assert markdown.write(spark.createDataFrame([("index.html", "new")], "name string, content string"), str(folder)) == 1 and found()["index.html"] == "new\n"
+    assert markdown.write(rows.limit(0), str(tmp_path / "none")) == 0
