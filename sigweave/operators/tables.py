@@ -33,3 +33,9 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     path = f"{_folder(spark)}/{_RUN}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes this process's tables of stored(); call it when results that read them have been stored elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_folder(spark)}/{_RUN}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
