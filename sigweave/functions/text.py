@@ -136,10 +136,20 @@ ENCODINGS = {"gb2312": "gb18030", "gb-2312": "gb18030", "gbk": "gb18030", "iso-8
 HEAD = 2048
 
 
-@F.pandas_udf(T.StringType())
-def decode_body(body: pd.Series, content_type: pd.Series) -> pd.Series:
+def decode_body(body: Column | str, content_type: Column | str) -> Column:
     """Text of fetched bytes: by the header's charset, else that which the first HEAD bytes name, else UTF-8. Bytes
-    that do not fit become U+FFFD; null stays null."""
+    that do not fit become U+FFFD; null stays null. UTF-8 is decoded in the JVM: Python gets nulls for such rows."""
+    b, header = (F.col(c) if isinstance(c, str) else c for c in (body, content_type))
+    found = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
+    head = F.decode(F.substring(b, 1, HEAD), "ISO-8859-1")
+    name = F.lower(F.coalesce(found(header, r"(?i)charset=([\w-]+)"), found(head, r"""(?i)<meta[^>]+charset=["']?\s*([\w-]+)"""), F.lit("utf-8")))
+    plain = name.isin("utf-8", "utf8")
+    here = F.regexp_replace(F.make_valid_utf8(b.cast("string")), "^\ufeff", "")
+    return F.when(plain, here).otherwise(_decoded(F.when(~plain, b), header))
+
+
+@F.pandas_udf(T.StringType())
+def _decoded(body: pd.Series, content_type: pd.Series) -> pd.Series:
 
     def one(b: bytes | None, header: str | None) -> str | None:
         if b is None:

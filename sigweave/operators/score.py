@@ -13,7 +13,9 @@ from .cluster import clustered
 
 def features(signals: DataFrame, compose: bool = True) -> DataFrame:
     """Signals (as of sources.snapshots) with ts, fp and tokens, computed once a row."""
-    return signals.withColumn("ts", F.try_to_timestamp("publishedAt")).withColumn("fp", text.fingerprint(F.col("title"), compose)).withColumn("tokens", text.title_tokens(F.col("title"), compose))
+    title = text.nfkc(F.col("title")) if compose else F.col("title")
+    rows = signals.withColumn("ts", F.try_to_timestamp("publishedAt")).withColumn("_title", title)  # composed once for both
+    return rows.withColumn("fp", text.fingerprint(F.col("_title"), False)).withColumn("tokens", text.title_tokens(F.col("_title"), False)).drop("_title")
 
 
 def with_source(rows: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
-from sigweave.functions import urls
+from sigweave.functions import text, urls
 from sigweave.sources import pages
 
 
@@ -66,3 +66,16 @@ def test_resolve(spark):
         want = want if want and want.lower().startswith(("http://", "https://")) else None
         tidy = lambda u: u and re.sub("^[A-Z]+:", lambda m: m[0].lower(), u).rstrip("?#")  # noqa: E731  it drops empty queries and fragments
         assert tidy(r.r) == tidy(want), (r.v, r.b)
+
+
+def test_bytes_of_utf8_are_decoded_as_python_does(spark):
+    """Random bytes, marks and names of other charsets in the same table."""
+    rng = random.Random(6)
+    bodies = [bytes(rng.choices([*b"ab <", 0xC3, 0xA9, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0x80, 0xFF, 0xED, 0xA0, 0xC0], k=rng.randint(0, 12))) for _ in range(400)] + [b"\xef\xbb\xbfmarked", b"", None]
+    heads = [None, "text/html", "text/html; charset=UTF-8", "text/html; charset=utf8", "text/html; charset=latin1", "text/html; charset=nowhere"]
+    rows = [(k, b, heads[k % len(heads)]) for k, b in enumerate(bodies)]
+    rows += [(1000, '<meta charset="gbk">中文'.encode("gb18030"), None), (1001, '<meta charset="gbk">é'.encode(), "text/html; charset=utf-8"), (1002, b"x" * 2100 + b'<meta charset="gbk">', None)]
+    got = {r.k: r.t for r in spark.createDataFrame(rows, "k int, b binary, h string").select("k", text.decode_body("b", "h").alias("t")).collect()}
+    for k, b, h in rows:
+        name = "gb18030" if k == 1000 else "cp1252" if h and "latin1" in h else "utf-8"
+        assert got[k] == (None if b is None else b.decode(name, "replace").removeprefix("﻿")), (b, h)
