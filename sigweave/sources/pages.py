@@ -47,12 +47,13 @@ DATED = "datePublished|article:published_time|publishdate"
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 
 
-def published(c: Column, said: Column) -> Column:
-    """The text of a date: time element, properties, then dates written in the text that shows."""
+def published(c: Column, said: Column | None = None) -> Column:
+    """The text of a date: time element, properties, then dates written in the text that shows (said, where it is known)."""
     name, value = f"""(?:itemprop|property|name)=["'](?:{DATED})["']""", """(?:content|datetime)=["']([^"']+)["']"""
     marked = [group(c, p) for p in (r"""(?i)<time[^>]*datetime=["']([^"']+)["'][^>]*>""", rf"(?i)<(?:meta|time)[^>]+{name}[^>]+{value}", rf"(?i)<(?:meta|time)[^>]+{value}[^>]+{name}")]
     written = [rf"(?i)\b((?:{MONTHS})\s+\d{{1,2}},\s+\d{{4}})\b", rf"(?i)\b(\d{{1,2}}\s+(?:{MONTHS})\s+\d{{4}})\b", r"\b((?:19|20)\d{2}-\d{2}-\d{2})\b", r"\b((?:19|20)\d{2}年\d{1,2}月\d{1,2}日)"]
-    return F.coalesce(*marked, F.coalesce(*[group(said, p) for p in written]))
+    told = lambda x: F.coalesce(*[group(x, p) for p in written])
+    return F.coalesce(*marked, once(text_content(c), told) if said is None else told(said))
 
 
 def text_content(c: Column) -> Column:
