@@ -65,6 +65,22 @@ def page_json_ld(spark, sf):
     return _numbered(page_source.json_ld(_pages(spark, sf, [graph, one, broken]))).select("page_id", "title", "link", "date", "summary")
 
 
+@query(
+    """with s as (select s_suppkey as n, s_name as name, date '2024-01-01' + cast(7 * s_suppkey as integer) as m from supplier where s_suppkey % 4 <> 3)
+    select strftime(m, '%Y-%m-%d') as monday, '# Week of ' || name || chr(10) || chr(10) || '> ' || month(m) || '月' || day(m) || '日 – ' || month(m + 6) || '月' || day(m + 6) || '日（上周）' || chr(10) || chr(10) || 'Told ' || n || chr(10) || chr(10) || '## 上周十大热点' || chr(10) || chr(10)
+      || '**1. First ' || n || '**' || chr(10) || chr(10) || 'new（[' || name || '](https://s.com/' || n || ')）' || chr(10) || chr(10) || '**2. Second**' || chr(10) || chr(10) || 'no source' || chr(10) as markdown from s"""
+)
+def weekly_markdown(spark, sf):
+    """Responses of which one in four lacks its briefing: the last item of an index serves, items without a row go."""
+    s = t(spark, sf, "supplier").withColumn("n", F.col("s_suppkey").cast("string"))
+    s = s.withColumn("monday", F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("s_suppkey").cast("int") * 7), "yyyy-MM-dd"))
+    item = lambda index, heading, body: F.struct(F.lit(index).alias("index"), heading.alias("heading"), F.lit(body).alias("body"))
+    items = F.array(item(2, F.lit("Second"), "no source"), item(1, F.lit("Old"), "old"), item(1, F.concat(F.lit("First "), "n"), "new"), item(9, F.lit("No row"), "x"))
+    said = F.to_json(F.struct(F.concat(F.lit("Week of "), "s_name").alias("headline"), F.when(F.col("s_suppkey") % 4 != 3, F.concat(F.lit("Told "), "n")).alias("briefing"), items.alias("items")))
+    rows = s.select("monday", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("index"), F.col("s_name").alias("source_name"), F.concat(F.lit("https://s.com/"), "n").alias("url")).withColumn("url", F.when(F.col("index") != 2, F.col("url")))
+    return render.weekly(s.select("monday", render.checked_weekly(said).alias("r")), rows)
+
+
 #: By page_id % 6: plain; in capitals, with an entity and the page itself; the title first, which is no such link, then one
 #: whose address comes first; single quotes; a tag within other tags and a title of tags; a relative address and dots.
 LINKS = [
