@@ -13,7 +13,7 @@ from sigweave.sources import feeds, markdown, state
 from sigweave.sources import pages as page_source
 
 from . import flows
-from .queries import AS_OF, query, t
+from .queries import AS_OF, TOKENS, query, t
 
 #: By page_id % 8: cards with a dummy link before the title's, a script, leading text only, a teaser, a date beside that of
 #: an image, an upper-case entity, a short title, a class that only begins like a card's.
@@ -65,6 +65,24 @@ def page_json_ld(spark, sf):
     return _numbered(page_source.json_ld(_pages(spark, sf, [graph, one, broken]))).select("page_id", "title", "link", "date", "summary")
 
 
+@query(
+    "with recursive v(k, authority, is_primary) as (values " + ", ".join(f"({k}, {s[5]}, {str(s[6]).lower()})" for k, s in enumerate(schema.SOURCES)) + f"""),
+    d as (select doc_id + case when doc_id % 3 = 0 then 1000000 else 0 end as seq, doc_id as h, doc_id % 16 as source, {TOKENS.replace('[^a-z0-9]', '[^a-z0-9一-鿿]')} as k from documents),
+    x as (select a.seq as a, b.seq as b, len(list_intersect(a.k, b.k)) as n, len(a.k) as p, len(b.k) as q from d a join d b on a.seq < b.seq and abs(b.h - a.h) <= 96), e as (select a, b from x where p > 0 and q > 0 and n / cast(p + q - n as double) >= 0.46),
+    r(seq, low) as (select seq, seq from d union select e.b, r.low from r join e on e.a = r.seq), c as (select seq, min(low) as cluster_id from r group by seq),
+    g as (select cluster_id, count(distinct source) as cluster_size from c join d using (seq) group by 1)
+    select seq, cluster_id, cluster_size, cast(greatest(0, least(100, floor(authority * 0.6::double + case when is_primary then 20 else 0 end + least(cluster_size - 1, 3) * 10 + 0.5))) as integer) as confidence
+    from d join c using (seq) join g using (cluster_id) join v on v.k = source where seq < 1000000"""
+)
+def scored_with_context(spark, sf):
+    """Two of three documents scored among all: the others are of earlier days and come after them in order."""
+    d = t(spark, sf, "documents")
+    at = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") * 3600), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rows = d.select(F.col("doc_id").alias("seq"), _one_of([s[0] for s in schema.SOURCES], F.col("doc_id")).alias("sourceSlug"), F.split("text", "\n")[0].alias("title"), F.lit("").alias("summary"), F.lit("tech").alias("category"), at.alias("publishedAt"), F.struct(F.lit(False).alias("dateInferred")).alias("rawMeta"))
+    earlier = rows.where("seq % 3 = 0").withColumn("seq", F.col("seq") + 1_000_000)
+    return score.scored(rows.where("seq % 3 <> 0"), F.lit(AS_OF).cast("timestamp"), earlier).select("seq", "cluster_id", "cluster_size", "confidence")
+
+
 @query(
     """with s as (select s_suppkey as n, s_name as name, date '2024-01-01' + cast(7 * s_suppkey as integer) as m from supplier where s_suppkey % 4 <> 3)
     select strftime(m, '%Y-%m-%d') as monday, '# Week of ' || name || chr(10) || chr(10) || '> ' || month(m) || '月' || day(m) || '日 – ' || month(m + 6) || '月' || day(m + 6) || '日（上周）' || chr(10) || chr(10) || 'Told ' || n || chr(10) || chr(10) || '## 上周十大热点' || chr(10) || chr(10)
