@@ -152,8 +152,6 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in added}
         longest = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
-        everything = {i: t for t, i in (self.ids | self.special).items()}
-        self.tokens = [everything.get(i) for i in range(max(everything, default=-1) + 1)]
         self.words: dict[str | tuple[str], bytes] = {}
         self.old: dict[str | tuple[str], bytes] = {}
 
@@ -215,6 +213,14 @@ class Vocabulary:
         return out
 
 
+def tokens_of(path: str) -> list[str | None]:
+    """The token of each id: all that decoding needs."""
+    with open(path, encoding="utf-8") as file:
+        kind = json.load(file)
+    every = {i: t for t, i in kind["model"]["vocab"].items()} | {t["id"]: t["content"] for t in kind.get("added_tokens") or []}
+    return [every.get(i) for i in range(max(every, default=-1) + 1)]
+
+
 def vocabulary(path: str) -> Vocabulary:
     if path not in _vocabularies:
         _vocabularies[path] = Vocabulary(path)
@@ -261,7 +267,7 @@ def decoded(rows: DataFrame, path: str | None = None, ids_col: str = "ids", name
     plain = plain.withColumn("ids", F.coalesce(F.col(at).cast("array<int>"), F.array().cast("array<int>")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = pa.array(vocabulary(path).tokens, pa.string())
+        tokens = pa.array(tokens_of(path), pa.string())
         for batch in batches:
             at, ends = 0, np.cumsum(pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False))
             while at < batch.num_rows:  # rows of DECODED ids, or one longer row
