@@ -11,6 +11,7 @@ from sigweave.functions import dates, scoring, text, urls
 from sigweave.operators import cluster, dedup, render, score, writer
 from sigweave.sources import feeds, markdown, state
 from sigweave.sources import pages as page_source
+from sigweave.streaming.corroboration import EARLIER
 
 from . import flows
 from .queries import AS_OF, TOKENS, query, t
@@ -79,7 +80,7 @@ def scored_with_context(spark, sf):
     d = t(spark, sf, "documents")
     at = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") * 3600), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = d.select(F.col("doc_id").alias("seq"), _one_of([s[0] for s in schema.SOURCES], F.col("doc_id")).alias("sourceSlug"), F.split("text", "\n")[0].alias("title"), F.lit("").alias("summary"), F.lit("tech").alias("category"), at.alias("publishedAt"), F.struct(F.lit(False).alias("dateInferred")).alias("rawMeta"))
-    earlier = rows.where("seq % 3 = 0").withColumn("seq", F.col("seq") + 1_000_000)
+    earlier = rows.where("seq % 3 = 0").withColumn("seq", F.col("seq") + EARLIER)
     return score.scored(rows.where("seq % 3 <> 0"), F.lit(AS_OF).cast("timestamp"), earlier).select("seq", "cluster_id", "cluster_size", "confidence")
 
 

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from sigweave.operators import tables
+from sigweave.operators import cluster, tables
+from sigweave.plans import made
 from sigweave.streaming import corroboration
 
 DDL = "seq long, sourceSlug string, sourceName string, title string, summary string, category string, publishedAt string, externalId string, day string, rawMeta struct<dateInferred: boolean>"
@@ -42,3 +43,14 @@ def test_release(spark):
     tables.release(spark)
     again = tables.stored(spark.range(2).select(F.col("id")), "x")
     assert again.count() == 2
+
+
+def test_scores_write_no_texts_and_know_rows_beyond_a_million(spark, tmp_path, monkeypatch):
+    """Document 1,000,000 is not the earlier one of id 0; titles and summaries go to no table on the way."""
+    rows = [(0, "alpha beta gamma\nx"), (1, "alpha beta gamma\ny"), (2, "another title of three words"), (1_000_000, "delta epsilon zeta eta"), (1_000_001, "delta epsilon zeta eta"), (1_000_002, "delta epsilon zeta eta")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    wrote = []
+    monkeypatch.setattr(cluster, "stored", lambda df, tag: wrote.extend(df.columns) or tables.stored(df, tag))
+    got = sorted((r.seq, r.cluster_id, r.cluster_size) for r in made.scored_with_context(spark, str(tmp_path)).collect())
+    assert got == [(1, 1, 2), (2, 2, 1), (1_000_000, 1_000_000, 3), (1_000_001, 1_000_000, 3)]
+    assert wrote and not {"title", "summary"} & {*wrote}
