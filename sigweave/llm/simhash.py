@@ -13,6 +13,7 @@ component_id is the smallest non-null doc_id that can be reached (null if there
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -23,11 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, column, pick, ranges, slabs, text_of, written
+from .common import Words, column, mix, pick, ranges, slabs, text_of, written
 from .components import components
 
 BUCKET_MAX = 4096
 SEED = 42
+#: Of wide fingerprints: bits; signed classes of shingles, and how many of these a shingle has.
+WIDE, CLASSES, OF = 512, 2048, 4
 
 
 def slab_shingles(data: np.ndarray, bounds: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +65,31 @@ def slab_fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int) -> np.
     return np.packbits(out, axis=1, bitorder="little").view("<u8").ravel()
 
 
+@functools.cache
+def _normals() -> np.ndarray:
+    """A normal of each hyperplane by class. Small whole numbers: their sums are exact, whatever the order."""
+    return np.rint(16 * np.random.default_rng(SEED).standard_normal((CLASSES, WIDE))).astype(np.float32)
+
+
+def wide_fingerprints(h: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A row of WIDE bits for each run of shingle hashes: on which sides of random hyperplanes (Charikar, 2002) the sum of
+    its shingles' vectors lies. Two runs differ in a bit with the probability of their angle over pi. A shingle's vector
+    is the signed sum of the normals of OF classes, so a row of counts by class times the normals is all it takes."""
+    out = np.zeros((len(count), WIDE // 64), np.uint64)
+    x, ends = mix(h), np.cumsum(count)
+    each, step = 64 // OF, 256
+    for lo in range(0, len(count), step):
+        part = count[lo : lo + step]
+        y = x[ends[lo] - count[lo] : ends[lo + len(part) - 1]]
+        row, sums = np.repeat(np.arange(len(part)) * CLASSES, part), np.zeros(len(part) * CLASSES)
+        for shift in range(0, 64, each):
+            z = (y >> np.uint64(shift)).astype(np.int64)
+            sums += np.bincount(row + (z & (CLASSES - 1)), 1.0 - 2 * (z >> (each - 1) & 1), len(sums))
+        sides = sums.reshape(len(part), CLASSES).astype(np.float32) @ _normals() > 0
+        out[lo : lo + step] = np.packbits(sides, axis=1, bitorder="little").view("<u8")
+    return out
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
     """doc_id, fp: the fingerprint as a signed long, of every row and whole text."""
 
